@@ -12,10 +12,13 @@ BROADCAST_BYTES = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints: spark.checkpoint.dir, or where that is unset (a local session) a temporary one."""
+    """The folder for checkpoints: spark.checkpoint.dir, or where that is unset in a local session a temporary one."""
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidewater-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidewater-"))
     return jsc.getCheckpointDir().get()
 
 

@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import jaccard
+from tidewater.llm import decontaminate, exact, jaccard
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_jaccard": jaccard.op9_jaccard}
+    return {"op1_decontaminate": decontaminate.op1_decontaminate, "op9_jaccard": jaccard.op9_jaccard, "op10_exact": exact.op10_exact}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_jaccard": jaccard.OP9_SQL}
+    return {"op9_jaccard": jaccard.OP9_SQL, "op10_exact": exact.OP10_SQL}
