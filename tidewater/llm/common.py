@@ -37,3 +37,12 @@ def without_ids(docs: DataFrame, removed: DataFrame, limit: int = BROADCAST_BYTE
     """`docs` less the rows whose doc_id is in `removed`; rows with a null doc_id stay."""
     gone = checkpointed(removed.select(F.col("doc_id").alias("_gone")).where("_gone is not null").distinct())
     return docs.join(sized(gone, 16, limit), docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that `df` doesn't have, from `name`."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{name}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
