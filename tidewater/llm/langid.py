@@ -21,7 +21,7 @@ from tidewater.llm.common import fresh
 #: Hidden units of each direction; bytes that the network reads at once.
 HIDDEN = 16
 SEGMENT = 24
-#: The sample: documents that are read for training, segments drawn for each language, steps, segments in a step, the first step size.
+#: The sample: documents that are read for training at most, segments drawn for each language, steps, segments in a step, the first step size.
 TRAIN_DOCS = 2_000
 TRAIN_SEGMENTS = 20_000
 STEPS = 400
@@ -178,7 +178,10 @@ def train(texts: list[str], langs: list[str], seed: int = 7, steps: int = STEPS)
 def fit(labelled: DataFrame, docs: int = TRAIN_DOCS) -> Model | None:
     """A model from at most `docs` rows of (doc_id, text, lang), those of the least hashes; None where no row has all three."""
     rows = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where("doc_id is not null and lang is not null and trim(text) <> ''")
-    some = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text", "lang").limit(docs).collect()
+    # The share of the hashes that holds about `docs` rows, so that no task sends the driver more than its part of them.
+    share = min(1.0, 1.2 * docs / max(1, rows.count()))
+    near = rows.where(F.xxhash64("doc_id") <= F.lit(int(min(2.0**63 - 1025, -(2.0**63) + share * 2.0**64))))
+    some = near.orderBy(F.xxhash64("doc_id"), "doc_id", "text", "lang").limit(docs).collect()
     return train([r["text"] for r in some], [r["lang"] for r in some]) if some else None
 
 

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import decontaminate, exact, jaccard, langid
+from tidewater.llm import bpe, decontaminate, exact, jaccard, langid
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": decontaminate.op1_decontaminate, "op5_langid": langid.op5_langid, "op9_jaccard": jaccard.op9_jaccard, "op10_exact": exact.op10_exact}
+    return {"op1_decontaminate": decontaminate.op1_decontaminate, "op4_bpe": bpe.op4_bpe, "op5_langid": langid.op5_langid, "op9_jaccard": jaccard.op9_jaccard, "op10_exact": exact.op10_exact}
 
 
 def oracle_sql() -> dict[str, str]:
