@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """`df`, written as Parquet to the shared folder and read again."""
+    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def sized(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """`small`, marked for broadcast if its rows, counted, are within the limit; otherwise marked as the build side of a shuffled hash join."""
     return F.broadcast(small) if small.count() * row_bytes <= limit else small.hint("shuffle_hash")
