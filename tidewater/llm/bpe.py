@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes of text in one block.  Words of more bytes than LONG are merged with a heap, as a fold over arrays is quadratic.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 12 << 20
 LONG = 60
 #: Bits of an id in the rank map, and the rank of a pair that is never merged.
 BITS = 20
