@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewater.plans import pages, ranking, reports
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return ranking.QUERIES | reports.QUERIES | pages.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return ranking.SQL | reports.SQL | pages.SQL
