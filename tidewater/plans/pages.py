@@ -1,2 +1,135 @@
-QUERIES = {}
-SQL = {}
+"""Queries of the page operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.functions import text
+from tidewater.operators import matching, members, web
+from tidewater.plans.tables import table
+
+#: The pages hold invented words only, so the rules name words that occur.
+SLOTS = [("articles", "the", "anchor"), ("articles", "the", "path"), ("people", "and", "anchor"), ("people", "and", "path"), ("contact", "die", "anchor"), ("contact", "que", "path")]
+KINDS = [("group", r"\bthe\b", 0.5), ("lab", r"\b(and|of)\b", 0.4), ("home", r"\b(die|la|de)\b", 0.3)]
+GUARDS = [(r"\bof\b", 0.2), (r"tion", 0.1)]
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages")
+
+
+def url_canonical_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pages(spark, sf_dir).select("page_id", text.url_key(F.col("url")).alias("key"), text.host(F.col("url")).alias("host"))
+
+
+def url_cache_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pages(spark, sf_dir).select("page_id", text.digest_id(F.col("url")).alias("id"))
+
+
+def page_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pages(spark, sf_dir).select("page_id", text.title(F.col("html")).alias("title"))
+
+
+def page_visible_text_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = F.length(text.visible(F.col("html")))
+    return _pages(spark, sf_dir).select("page_id", seen.alias("visible"), F.round(seen.cast("double") / F.length("html"), 4).alias("ratio"))
+
+
+def host_page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pages(spark, sf_dir).groupBy(text.bare_host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def denylist_first_allowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _pages(spark, sf_dir).select((F.col("page_id") % 50).alias("grp"), "page_id", "url", text.host(F.col("url")).alias("host"))
+    denied = rows.where(F.col("host").rlike("^(m|blog)[.]")).select("host").distinct()
+    return matching.first_allowed(rows, denied, "grp", "host", "page_id", "url")
+
+
+def email_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.size(F.regexp_extract_all("text", F.lit("[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}"), F.lit(0)))
+    return table(spark, sf_dir, "documents").groupBy("lang").agg(F.sum(n).alias("emails"), F.count_if(n > 0).alias("documents"))
+
+
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web.links(_pages(spark, sf_dir)).select("page_id", "pos", "anchor", "href", "url", "side")
+
+
+def link_dedup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = web.links(_pages(spark, sf_dir))
+    before = rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("links"), F.countDistinct(text.url_key(F.col("url")), F.lower("anchor")).alias("kept"))
+    return before.withColumn("dropped", F.col("links") - F.col("kept"))
+
+
+def link_slot_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web.slots(web.links(_pages(spark, sf_dir)), spark.createDataFrame(SLOTS, "slot string, token string, kind string"))
+
+
+def candidate_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web.candidates(web.links(_pages(spark, sf_dir)), KINDS, GUARDS)
+
+
+def nearby_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web.nearby_pages(web.links(_pages(spark, sf_dir)), ["the", "and", "der"]).select("page_id", "rk", "by", "anchor", "url")
+
+
+def lab_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web.labs(web.links(_pages(spark, sf_dir)), ["the", "tion"]).select("page_id", "rk", "confidence", "anchor", "url")
+
+
+def page_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    types = [("article", [(r"\bthe\b", 0.3), (r"\band\b", 0.2)]), ("listing", [(r"\bder\b", 0.3), (r"\bdie\b", 0.2)]), ("profile", [(r"\bla\b", 0.3), (r"\bde\b", 0.2)])]
+    kind, score = web.classified(text.visible(F.col("html")), F.col("url"), text.title(F.col("html")), types)
+    return _pages(spark, sf_dir).select("page_id", kind.alias("kind"), score.alias("score"))
+
+
+def page_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return members.members(_pages(spark, sf_dir)).select("page_id", "pos", "name", "section", "layout")
+
+
+def person_validation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as entries: their keys decide what each shows."""
+    k = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", (k % 3).alias("name"), (k % 2 == 0).alias("in_section"), (k % 5 % 3).alias("role"), (k % 7 == 0).alias("own"), (k % 4 == 0).alias("url"), (k % 3 == 1).alias("email"), (k % 11 == 0).alias("rejected")
+    )
+    score = web.person_score(F.col("name"), F.col("in_section"), F.col("role"), F.col("own"), F.col("url"), F.col("email"), F.col("rejected"))
+    out = rows.withColumn("score", score)
+    sure = web.extraction_confidence(F.col("score"), F.col("url"), F.col("role") == 2, F.col("role") == 1, F.col("name") > 0)
+    return out.select("c_custkey", "score", sure.alias("extraction"), (F.col("score") >= 0.55).alias("kept"))
+
+
+def identity_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(web.identity_state(k % 13 != 0, k % 6 == 0, k % 3, k % 2).alias("state"))
+    return rows.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+
+
+QUERIES = {f.__name__: f for f in (
+    url_canonical_key, url_cache_id, page_title, page_visible_text_ratio, host_page_counts, denylist_first_allowed, email_extraction, page_links, link_dedup_counts, link_slot_classification, candidate_scoring, nearby_pages, lab_links, page_classes,
+    page_members, person_validation_scores, identity_states,
+)}
+
+_HOST = "lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)', 1))"
+_VISIBLE = "trim(regexp_replace(lower(regexp_replace(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')), '[ \\t\\r\\n]+', ' ', 'g'))"
+_TITLE = "trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '[ \\t\\r\\n]+', ' ', 'g'))"
+SQL = {
+    "url_canonical_key": f"""SELECT page_id, lower(regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*)://', 1)) || '://' || {_HOST} || regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)), '/+', '/', 'g'),
+ '/(index|default|home)[.](html?|php|aspx?)$', '/'), '/$', '') || regexp_extract(url, '^[^?#]*([?][^#]*)', 1) AS key, {_HOST} AS host FROM pages""",
+    "url_cache_id": "SELECT page_id, substr(sha256(url), 1, 16) AS id FROM pages",
+    "page_title": f"SELECT page_id, {_TITLE} AS title FROM pages",
+    "page_visible_text_ratio": f"SELECT page_id, CAST(length({_VISIBLE}) AS INTEGER) AS visible, round(CAST(length({_VISIBLE}) AS DOUBLE) / length(html), 4) AS ratio FROM pages",
+    "host_page_counts": f"SELECT regexp_replace({_HOST}, '^www[.]', '') AS host, count(*) AS n FROM pages GROUP BY 1",
+    "denylist_first_allowed": f"SELECT page_id % 50 AS grp, arg_min(url, page_id) AS url FROM pages WHERE NOT regexp_matches({_HOST}, '^(m|blog)[.]') GROUP BY 1",
+    "email_extraction": "WITH e AS (SELECT lang, len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}')) AS n FROM documents) SELECT lang, CAST(sum(n) AS BIGINT) AS emails, count(*) FILTER (WHERE n > 0) AS documents FROM e GROUP BY 1",
+    "page_classes": f"""WITH w AS (SELECT page_id, regexp_replace(lower(concat_ws(' ', {_TITLE}, regexp_replace(url, '[-_/.?=&]', ' ', 'g'), {_VISIBLE})), '[ \\t\\r\\n]+', ' ', 'g') AS t FROM pages),
+m AS (SELECT page_id, {", ".join(f"regexp_matches(t, '(^|[^a-zA-Z0-9_]){x}($|[^a-zA-Z0-9_])') AS is_{x}" for x in ("the", "and", "der", "die", "la", "de"))} FROM w),
+s AS (SELECT page_id, {", ".join(f"CASE WHEN is_{a} THEN CAST(0.3 AS DOUBLE) ELSE 0 END + CASE WHEN is_{b} THEN CAST(0.2 AS DOUBLE) ELSE 0 END AS {n}" for n, a, b in (("article", "the", "and"), ("listing", "der", "die"), ("profile", "la", "de")))} FROM m)
+SELECT page_id, CASE WHEN greatest(article, listing, profile) < 0.4 THEN 'unknown' WHEN article = greatest(article, listing, profile) THEN 'article' WHEN listing = greatest(article, listing, profile) THEN 'listing' ELSE 'profile' END AS kind,
+  round(greatest(article, listing, profile), 4) AS score FROM s""",
+    "person_validation_scores": """WITH r AS (SELECT c_custkey, c_custkey % 3 AS name, c_custkey % 2 = 0 AS sec, c_custkey % 5 % 3 AS role, c_custkey % 7 = 0 AS own, c_custkey % 4 = 0 AS url, c_custkey % 3 = 1 AS email, c_custkey % 11 = 0 AS bad FROM customer),
+s AS (SELECT *, CASE WHEN bad THEN CAST(0 AS DOUBLE) ELSE round(CAST((CASE name WHEN 2 THEN 25 WHEN 1 THEN 10 ELSE 0 END + CASE WHEN sec THEN 25 ELSE 0 END + CASE role WHEN 2 THEN 20 WHEN 1 THEN 10 ELSE 0 END
+  + CASE WHEN own THEN 25 WHEN url THEN 8 WHEN email THEN 15 ELSE 0 END + 5) AS DOUBLE) / 100, 4) END AS score FROM r)
+SELECT c_custkey, score, round(least(CAST(1 AS DOUBLE), CAST(0.6 AS DOUBLE) * score + CAST(CASE WHEN url THEN 20 ELSE 0 END + CASE role WHEN 2 THEN 15 WHEN 1 THEN 5 ELSE 0 END + CASE WHEN name > 0 THEN 5 ELSE 0 END AS DOUBLE) / 100), 4) AS extraction, score >= 0.55 AS kept FROM s""",
+    "identity_states": """SELECT CASE WHEN c_custkey % 13 = 0 THEN 'INVALID' WHEN c_custkey % 6 = 0 THEN 'VERIFIED' WHEN c_custkey % 3 >= 2 THEN 'RESOLVABLE' WHEN c_custkey % 3 + c_custkey % 2 >= 1 THEN 'PARTIAL' ELSE 'INVALID' END AS state, count(*) AS n FROM customer GROUP BY 1""",
+}
