@@ -78,7 +78,8 @@ def lab_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    types = [("article", [(r"\bthe\b", 0.3), (r"\band\b", 0.2)]), ("listing", [(r"\bder\b", 0.3), (r"\bdie\b", 0.2)]), ("profile", [(r"\bla\b", 0.3), (r"\bde\b", 0.2)])]
+    word = lambda w: rf"(^| ){w}( |$)"
+    types = [("article", [(word("the"), 0.3), (word("and"), 0.2)]), ("listing", [(word("der"), 0.3), (word("die"), 0.2)]), ("profile", [(word("la"), 0.3), (word("de"), 0.2)])]
     kind, score = web.classified(text.visible(F.col("html")), F.col("url"), text.title(F.col("html")), types)
     return _pages(spark, sf_dir).select("page_id", kind.alias("kind"), score.alias("score"))
 
@@ -123,7 +124,7 @@ SQL = {
     "denylist_first_allowed": f"SELECT page_id % 50 AS grp, arg_min(url, page_id) AS url FROM pages WHERE NOT regexp_matches({_HOST}, '^(m|blog)[.]') GROUP BY 1",
     "email_extraction": "WITH e AS (SELECT lang, len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}')) AS n FROM documents) SELECT lang, CAST(sum(n) AS BIGINT) AS emails, count(*) FILTER (WHERE n > 0) AS documents FROM e GROUP BY 1",
     "page_classes": f"""WITH w AS (SELECT page_id, regexp_replace(lower(concat_ws(' ', {_TITLE}, regexp_replace(url, '[-_/.?=&]', ' ', 'g'), {_VISIBLE})), '[ \\t\\r\\n]+', ' ', 'g') AS t FROM pages),
-m AS (SELECT page_id, {", ".join(f"regexp_matches(t, '(^|[^a-zA-Z0-9_]){x}($|[^a-zA-Z0-9_])') AS is_{x}" for x in ("the", "and", "der", "die", "la", "de"))} FROM w),
+m AS (SELECT page_id, {", ".join(f"regexp_matches(t, '(^| ){x}( |$)') AS is_{x}" for x in ("the", "and", "der", "die", "la", "de"))} FROM w),
 s AS (SELECT page_id, {", ".join(f"CASE WHEN is_{a} THEN CAST(0.3 AS DOUBLE) ELSE 0 END + CASE WHEN is_{b} THEN CAST(0.2 AS DOUBLE) ELSE 0 END AS {n}" for n, a, b in (("article", "the", "and"), ("listing", "der", "die"), ("profile", "la", "de")))} FROM m)
 SELECT page_id, CASE WHEN greatest(article, listing, profile) < 0.4 THEN 'unknown' WHEN article = greatest(article, listing, profile) THEN 'article' WHEN listing = greatest(article, listing, profile) THEN 'listing' ELSE 'profile' END AS kind,
   round(greatest(article, listing, profile), 4) AS score FROM s""",
