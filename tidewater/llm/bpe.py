@@ -10,6 +10,7 @@ documents are put together from the words' ids.  Decoding concatenates the binar
 from __future__ import annotations
 
 import base64
+import functools
 import heapq
 from collections.abc import Iterator
 
@@ -29,20 +30,22 @@ LONG = 60
 BITS = 20
 NEVER = 1 << BITS
 
-BLOCK = "docs array<long>, some array<boolean>, counts array<int>, refs array<int>, words array<array<smallint>>, longer array<array<int>>"
+BLOCK = "docs array<long>, some array<boolean>, counts array<int>, refs binary, words array<array<smallint>>, longer array<array<int>>"
 
 
-def vocabulary(path: str = VOCABULARY) -> list[bytes]:
+@functools.lru_cache(4)
+def vocabulary(path: str = VOCABULARY) -> tuple[bytes, ...]:
     """The pieces by id."""
     with open(path, "rb") as lines:
         ranks = {int(rank): base64.b64decode(piece) for piece, rank in map(bytes.split, lines)}
     if sorted(ranks) != list(range(len(ranks))) or len(ranks) > NEVER:
         raise ValueError(f"{path} has no ranks from 0 on")
-    return [ranks[i] for i in range(len(ranks))]
+    return tuple(ranks[i] for i in range(len(ranks)))
 
 
-def rank_map(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The rank map as a displaced table: the entry of ids a and b is at shift[a] + b and holds a and, in its high bits, the id of their merge.
+@functools.lru_cache(2)
+def rank_map(pieces: tuple[bytes, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """The rank map as a displaced table: the entry of ids a and b is at shift[a] + b and holds the id of their merge and, above it, a.
 
     Every pair of pieces that make a piece has an entry.  The rows of a are laid over one another so that no two entries meet."""
     ids = {p: i for i, p in enumerate(pieces)}
@@ -60,10 +63,10 @@ def rank_map(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             own |= 1 << b
         shift[a] = at = (~met & (met + 1)).bit_length() - 1
         taken |= own << at
-    table = np.full(int(shift.max(initial=0)) + len(pieces), -1, np.int64)
+    table = np.full(int(shift.max(initial=0)) + len(pieces) + 1, NEVER, np.int64)
     for a, row in rows.items():
         for b, i in row:
-            table[shift[a] + b] = i << 2 * BITS | a
+            table[shift[a] + b] = a << 2 * BITS | i
     return shift, table
 
 
@@ -101,47 +104,54 @@ def _literal(values: np.ndarray) -> Column:
     return F.split(F.lit(",".join(map(str, values.tolist()))), ",").cast("array<bigint>")
 
 
-def merged(pieces: list[bytes]):
+def _bound(literals: list[Column], body, *names: Column) -> Column:
+    """`body` of literals that stand in the plan once, however often it uses them."""
+    if not literals:
+        return body(*names)
+    return F.transform(F.array(literals[0]), lambda x: _bound(literals[1:], body, *names, x))[0]
+
+
+def merged(pieces: tuple[bytes, ...]):
     """A function of a column of words (arrays of bytes) that gives the columns of their ids.
 
     A token in the state of the fold is one integer: the rank of the pair that it begins, the place of its first byte, its id.  The least
-    integer is the leftmost pair of the least rank.  The first integer of the state has a bit for every byte that begins a token, so that
-    a count of bits gives the index of a token from its place."""
+    integer is the leftmost pair of the least rank."""
     ids = {p: i for i, p in enumerate(pieces)}
     shift, table = map(_literal, rank_map(pieces))
     single = np.array([ids[bytes([b])] for b in range(256)])
     # The first state by two bytes; 256 stands for the end of the word.
     pairs = _literal(np.array([[(ids.get(bytes([a, b]), NEVER) << 2 * BITS) + single[a] for b in range(256)] + [(NEVER << 2 * BITS) + single[a]] for a in range(256)]).ravel())
-    low, mid, ended = F.lit(NEVER - 1), F.lit((NEVER - 1) << BITS), F.lit(NEVER << 2 * BITS)
-    below = _literal((1 << np.arange(LONG + 1, dtype=np.int64)) - 1)
+    low, mid, tail = F.lit(NEVER - 1), F.lit((NEVER - 1) << BITS), F.lit((1 << 2 * BITS) - 1)
+    never, ended = F.lit(NEVER), F.lit(NEVER << 2 * BITS)
     # A token that merges with none stands at both ends.
     edge = F.array(F.lit((NEVER << 2 * BITS) + len(pieces)))
 
-    def token(a: Column, b: Column, place: Column) -> Column:
-        found = F.get(table, F.get(shift, a) + b)
-        return F.when(found.bitwiseAND(low) == a, found).otherwise(a + ended) + place.bitwiseAND(mid)
+    def fold(words: Column, shift: Column, table: Column, pairs: Column) -> Column:
+        def rank(a: Column, b: Column) -> Column:
+            """The rank of a pair in its bits: an entry of the table has a above its rank, which leaves the rank alone if a is right."""
+            return F.shiftleft(F.least(F.get(table, F.get(shift, a) + b).bitwiseXOR(F.shiftleft(a, 2 * BITS)), never), 2 * BITS)
+
+        def merge(s: Column, least: Column) -> Column:
+            new = F.shiftright(least, 2 * BITS)
 
-    def merge(s: Column, least: Column) -> Column:
-        new = F.shiftright(least, 2 * BITS)
+            def at(s: Column, i: Column) -> Column:
+                before = F.get(s, i - 2)
+                left = rank(before.bitwiseAND(low), new).bitwiseOR(before.bitwiseAND(tail))
+                right = rank(new, F.get(s, i + 1).bitwiseAND(low)).bitwiseOR(least.bitwiseAND(mid)).bitwiseOR(new)
+                return F.concat(F.slice(s, F.lit(1), i - 2), F.array(left, right), F.slice(s, i + 2, never))
 
-        def at(s: Column, i: Column) -> Column:
-            before, gone = F.get(s, i - 2), F.shiftright(F.get(s, i).bitwiseAND(mid), BITS)
-            starts = F.array(F.get(s, F.lit(0)) - F.get(below, gone) - 1)
-            two = F.array(token(before.bitwiseAND(low), new, before), token(new, F.get(s, i + 1).bitwiseAND(low), least))
-            return F.concat(starts, F.slice(s, F.lit(2), i - 3), two, F.slice(s, i + 2, F.lit(NEVER)))
+            return _let(F.array_position(s, least).cast("int"), s, at)
 
-        # array_position would throw an exception inside to leave its loop, which takes longer than all the rest.
-        return _let(F.bit_count(F.get(s, F.lit(0)).bitwiseAND(F.get(below, F.shiftright(least.bitwiseAND(mid), BITS)))) + 3, s, at)
+        def step(s: Column, _: Column) -> Column:
+            return _let(F.array_min(s), s, lambda s, least: F.when(least >= ended, s).otherwise(merge(s, least)))
 
-    def step(s: Column, _: Column) -> Column:
-        return _let(F.array_min(s), s, lambda s, least: F.when(least >= ended, s).otherwise(merge(s, least)))
+        def one(word: Column) -> Column:
+            start = F.transform(word, lambda b, i: F.get(pairs, b * 257 + F.coalesce(F.get(word, i + 1), F.lit(256).cast("smallint"))) + F.shiftleft(i.cast("bigint"), BITS))
+            return F.aggregate(word, F.concat(edge, start, edge), step, lambda s: F.transform(F.slice(s, F.lit(2), F.size(s) - 2), lambda x: x.bitwiseAND(low).cast("int")))
 
-    def one(word: Column) -> Column:
-        start = F.transform(word, lambda b, i: F.get(pairs, b * 257 + F.coalesce(F.get(word, i + 1), F.lit(256).cast("smallint"))) + F.shiftleft(i.cast("bigint"), BITS))
-        starts = F.array(F.get(below, F.size(word)) + ended)
-        return F.aggregate(word, F.concat(starts, edge, start, edge), step, lambda s: F.transform(F.slice(s, F.lit(3), F.size(s) - 3), lambda x: x.bitwiseAND(low).cast("int")))
+        return F.transform(words, one)
 
-    return lambda words: F.transform(words, one)
+    return lambda words: _bound([shift, table, pairs], lambda *x: fold(words, *x))
 
 
 class _Words(dict):
@@ -154,6 +164,13 @@ def _lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values, kind))
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int | None, str | None]]:
+    """The rows of a batch; few of its texts are Python strings at a time."""
+    for at in range(0, len(batch), 64):
+        some = batch.slice(at, 64)
+        yield from zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True)
+
+
 def _blocks(ids: dict[bytes, int], limit: int):
     find = regex.compile(PATTERN).findall
 
@@ -170,7 +187,8 @@ def _blocks(ids: dict[bytes, int], limit: int):
         flat = np.concatenate([r for r in refs if r is not None] or [np.zeros(0, np.int32)])
         return pa.RecordBatch.from_arrays(
             [
-                one(pa.array(docs, pa.int64())), one(pa.array([r is not None for r in refs])), one(pa.array([0 if r is None else len(r) for r in refs], pa.int32())), one(pa.array(place[flat] if len(flat) else flat, pa.int32())),
+                one(pa.array(docs, pa.int64())), one(pa.array([r is not None for r in refs])), one(pa.array([0 if r is None else len(r) for r in refs], pa.int32())),
+                pa.array([pa.compress((place[flat] if len(flat) else flat).tobytes(), "zstd", asbytes=True)], pa.binary()),
                 one(_lists(np.frombuffer(b"".join(short), np.uint8).astype(np.int16), lengths[~long], pa.int16())), one(pa.array(longer, pa.list_(pa.int32()))),
             ],
             ["docs", "some", "counts", "refs", "words", "longer"],
@@ -179,7 +197,7 @@ def _blocks(ids: dict[bytes, int], limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, refs, known, size = [], [], _Words(), 0
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for doc, text in _rows(batch):
                 docs.append(doc)
                 if text is None:
                     refs.append(None)
@@ -201,11 +219,12 @@ def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(len(batch)):
             column = lambda name: batch.column(name)[i].values  # noqa: B023, E731
-            docs, some, counts, refs = (column(name) for name in ("docs", "some", "counts", "refs"))
+            docs, some, counts = (column(name) for name in ("docs", "some", "counts"))
             words = pa.concat_arrays([column("ids"), column("longer")]) if len(column("longer")) else column("ids")
             flat, at = words.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-            refs, counts = refs.to_numpy(zero_copy_only=False), counts.to_numpy(zero_copy_only=False).astype(np.int64)
+            counts = counts.to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.cumsum(counts)
+            refs = np.frombuffer(pa.decompress(batch.column("refs")[i].as_py(), 4 * int(counts.sum()), "zstd", asbytes=True), np.int32)
             # Documents go out in parts, so that the gathered ids stay few.
             start = 0
             while start < len(docs):

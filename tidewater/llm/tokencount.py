@@ -30,7 +30,7 @@ _SPACE = np.zeros(256, np.bool_)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def encoding(pieces: list[bytes]) -> tiktoken.Encoding:
+def encoding(pieces: tuple[bytes, ...]) -> tiktoken.Encoding:
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks={p: i for i, p in enumerate(pieces)}, special_tokens={})
 
 
@@ -59,7 +59,7 @@ def boundaries(raw: bytes, ids: list[int], lengths: np.ndarray) -> tuple[np.ndar
     return stable[ok], at[ok] + 1
 
 
-def _direct(pieces: list[bytes]):
+def _direct(pieces: tuple[bytes, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(pieces).encode_ordinary
         for batch in batches:
@@ -85,7 +85,7 @@ _PLACES = pa.list_(pa.int64())
 _CODED = pa.schema([("doc_id", pa.int64()), ("key", pa.string()), ("part", pa.int32()), ("last", pa.bool_()), ("n", pa.int64()), ("head", _PLACES), ("head_n", _PLACES), ("tail", _PLACES), ("tail_n", _PLACES)])
 
 
-def _coder(pieces: list[bytes], overlap: int):
+def _coder(pieces: tuple[bytes, ...], overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(pieces).encode_ordinary
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
