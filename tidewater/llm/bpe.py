@@ -63,10 +63,10 @@ def rank_map(pieces: tuple[bytes, ...]) -> tuple[np.ndarray, np.ndarray]:
             own |= 1 << b
         shift[a] = at = (~met & (met + 1)).bit_length() - 1
         taken |= own << at
-    table = np.full(int(shift.max(initial=0)) + len(pieces) + 1, NEVER, np.int64)
+    table = np.full(int(shift.max(initial=0)) + len(pieces) + 1, (NEVER - 1) << BITS, np.int64)
     for a, row in rows.items():
         for b, i in row:
-            table[shift[a] + b] = a << 2 * BITS | i
+            table[shift[a] + b] = a << BITS | i
     return shift, table
 
 
@@ -114,39 +114,35 @@ def _bound(literals: list[Column], body, *names: Column) -> Column:
 def merged(pieces: tuple[bytes, ...]):
     """A function of a column of words (arrays of bytes) that gives the columns of their ids.
 
-    A token in the state of the fold is one integer: the rank of the pair that it begins, the place of its first byte, its id.  The least
-    integer is the leftmost pair of the least rank."""
+    A token in the state of the fold is one integer: the rank of the pair that it begins, and its id."""
     ids = {p: i for i, p in enumerate(pieces)}
     shift, table = map(_literal, rank_map(pieces))
     single = np.array([ids[bytes([b])] for b in range(256)])
     # The first state by two bytes; 256 stands for the end of the word.
-    pairs = _literal(np.array([[(ids.get(bytes([a, b]), NEVER) << 2 * BITS) + single[a] for b in range(256)] + [(NEVER << 2 * BITS) + single[a]] for a in range(256)]).ravel())
-    low, mid, tail = F.lit(NEVER - 1), F.lit((NEVER - 1) << BITS), F.lit((1 << 2 * BITS) - 1)
-    never, ended = F.lit(NEVER), F.lit(NEVER << 2 * BITS)
+    pairs = _literal(np.array([[(ids.get(bytes([a, b]), NEVER) << BITS) + single[a] for b in range(256)] + [(NEVER << BITS) + single[a]] for a in range(256)]).ravel())
+    low, high, never, ended = F.lit(NEVER - 1), F.lit(-NEVER), F.lit(NEVER), F.lit(NEVER << BITS)
     # A token that merges with none stands at both ends.
-    edge = F.array(F.lit((NEVER << 2 * BITS) + len(pieces)))
+    edge = F.array(F.lit((NEVER << BITS) + len(pieces)))
 
     def fold(words: Column, shift: Column, table: Column, pairs: Column) -> Column:
         def rank(a: Column, b: Column) -> Column:
             """The rank of a pair in its bits: an entry of the table has a above its rank, which leaves the rank alone if a is right."""
-            return F.shiftleft(F.least(F.get(table, F.get(shift, a) + b).bitwiseXOR(F.shiftleft(a, 2 * BITS)), never), 2 * BITS)
+            return F.shiftleft(F.least(F.get(table, F.get(shift, a) + b).bitwiseXOR(F.shiftleft(a, BITS)), never), BITS)
 
         def merge(s: Column, least: Column) -> Column:
-            new = F.shiftright(least, 2 * BITS)
-
-            def at(s: Column, i: Column) -> Column:
-                before = F.get(s, i - 2)
-                left = rank(before.bitwiseAND(low), new).bitwiseOR(before.bitwiseAND(tail))
-                right = rank(new, F.get(s, i + 1).bitwiseAND(low)).bitwiseOR(least.bitwiseAND(mid)).bitwiseOR(new)
-                return F.concat(F.slice(s, F.lit(1), i - 2), F.array(left, right), F.slice(s, i + 2, never))
-
-            return _let(F.array_position(s, least).cast("int"), s, at)
+            new, i = F.shiftright(least, BITS), least.bitwiseAND(low).cast("int")
+            before = F.get(s, i - 1).bitwiseAND(low)
+            left = rank(before, new).bitwiseOR(before)
+            right = rank(new, F.get(s, i + 2).bitwiseAND(low)).bitwiseOR(new)
+            return F.concat(F.slice(s, F.lit(1), i - 1), F.array(left, right), F.slice(s, i + 3, never))
 
         def step(s: Column, _: Column) -> Column:
-            return _let(F.array_min(s), s, lambda s, least: F.when(least >= ended, s).otherwise(merge(s, least)))
+            # The least rank with its index: array_position would leave its loop by an exception, which takes longer than all the rest.
+            least = F.array_min(F.transform(s, lambda x, i: x.bitwiseAND(high) + i))
+            return _let(least, s, lambda s, least: F.when(least >= ended, s).otherwise(merge(s, least)))
 
         def one(word: Column) -> Column:
-            start = F.transform(word, lambda b, i: F.get(pairs, b * 257 + F.coalesce(F.get(word, i + 1), F.lit(256).cast("smallint"))) + F.shiftleft(i.cast("bigint"), BITS))
+            start = F.transform(word, lambda b, i: F.get(pairs, b * 257 + F.coalesce(F.get(word, i + 1), F.lit(256).cast("smallint"))))
             return F.aggregate(word, F.concat(edge, start, edge), step, lambda s: F.transform(F.slice(s, F.lit(2), F.size(s) - 2), lambda x: x.bitwiseAND(low).cast("int")))
 
         return F.transform(words, one)
