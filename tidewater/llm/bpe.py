@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import tidy
+
 #: The vocabulary, read by the driver alone, and the pattern that cuts texts into words.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -243,8 +245,8 @@ def encoded(docs: DataFrame, path: str = VOCABULARY, block: int = BLOCK_BYTES) -
     """
     pieces = vocabulary(path)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    blocks = text.mapInArrow(_blocks({p: i for i, p in enumerate(pieces)}, block), BLOCK)
-    return blocks.select("docs", "some", "counts", "refs", merged(pieces)(F.col("words")).alias("ids"), "longer").mapInArrow(_assembled, "doc_id long, ids array<int>")
+    blocks = text.mapInArrow(tidy(_blocks({p: i for i, p in enumerate(pieces)}, block)), BLOCK)
+    return blocks.select("docs", "some", "counts", "refs", merged(pieces)(F.col("words")).alias("ids"), "longer").mapInArrow(tidy(_assembled), "doc_id long, ids array<int>")
 
 
 def decoded(ids: Column, path: str = VOCABULARY) -> Column:

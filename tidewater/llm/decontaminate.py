@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import without_ids
+from tidewater.llm.common import tidy, without_ids
 from tidewater.llm.hashing import WORD_BYTE, buffers
 
 #: Edits allowed for each byte of a normalised item; items shorter than LEAST bytes say too little to be leaks.
@@ -107,7 +107,8 @@ def _matcher(items: list[tuple[int, str]], rate: float):
         for piece, uses in found.items():
             automaton.add_word(piece, uses)
         automaton.make_automaton()
-        for batch in batches:
+        # Normalising takes many times a text's bytes, so it takes some rows at a time.
+        for batch in (b.slice(start, 256) for b in batches for start in range(0, len(b), 256)):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             raw, at = normalise(*buffers(batch.column("text")))
             text = raw.tobytes().decode("latin-1")
@@ -168,7 +169,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFram
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).where("doc_id is not null and text is not null")
     out = None
     for group in item_groups(benchmark):
-        found = text.mapInArrow(_matcher(group, rate), LEAKS)
+        found = text.mapInArrow(tidy(_matcher(group, rate)), LEAKS)
         out = found if out is None else out.unionByName(found)
     if out is None:
         return text.select("doc_id", F.lit(0).cast("long").alias("item_id"), F.lit(0).alias("edits")).where(F.lit(False))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import checkpointed, sized, without_ids
+from tidewater.llm.common import checkpointed, sized, tidy, without_ids
 from tidewater.llm.hashing import U, mix, ngrams, word_hashes
 
 NGRAM = 2
@@ -121,7 +121,8 @@ def _signatures(n: int, t: float):
 
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # Sets are larger than their texts, so they go out some rows at a time.
+        for batch in (b.slice(at, 512) for b in batches for at in range(0, len(b), 512)):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             rows, grams = [], []
             for row, g in _grams(batch, n):
@@ -170,7 +171,7 @@ def jaccard_join(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHO
     very threshold with a chance of about 3 %, one above it ever more rarely; each pair returned is verified on whole sets.
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).where("doc_id is not null and text is not null")
-    signs = checkpointed(text.mapInArrow(_signatures(ngram, threshold), SIGNATURE))
+    signs = checkpointed(text.mapInArrow(tidy(_signatures(ngram, threshold)), SIGNATURE))
 
     same = checkpointed(signs.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("rep"), F.collect_set("doc_id").alias("docs")).where(F.size("docs") > 1).select("rep", "n", F.explode("docs").alias("doc_id")).where("rep <> doc_id"))
     heads = signs.join(sized(same.select("doc_id").distinct(), 16), "doc_id", "left_anti")
@@ -198,7 +199,7 @@ def jaccard_join(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHO
     groups = max(1, math.ceil(total / GROUP_BYTES), docs.sparkSession.sparkContext.defaultParallelism)
     cut = F.pmod(F.col("place"), F.lit(groups)).cast("int").alias("cut")
     wanted = sized(places.select("doc_id").distinct(), 16)
-    sets = text.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(ngram), "doc_id long, grams array<long>")
+    sets = text.join(wanted, "doc_id", "left_semi").mapInArrow(tidy(_sets(ngram)), "doc_id long, grams array<long>")
     routes = places.select("doc_id", cut).distinct()
     routed = sets.join(sized(routes, 24), "doc_id")
     checked = near.select("doc_a", "doc_b", cut).groupBy("cut").cogroup(routed.groupBy("cut")).applyInArrow(_verify(threshold), "doc_a long, doc_b long, jaccard double, shared long")

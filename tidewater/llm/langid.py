@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import fresh
+from tidewater.llm.common import fresh, tidy
 
 #: Hidden units of each direction; bytes that the network reads at once.
 HIDDEN = 16
@@ -31,7 +31,7 @@ RATE = 0.02
 NOISE = "und"
 REJECTED = 0.6
 #: Distinct segments that a task remembers; beyond it forgets them all and goes on.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 RESULT = "doc_id long, lang string, prob double, positions long, own long, keep boolean"
 
@@ -201,25 +201,30 @@ def _labeller(model: Model):
     c = len(model.labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, table = _Known(), np.zeros((0, 2 * c), np.float32)
+        known, table = _Known(), np.zeros((1 << 16, 2 * c), np.float32)
         for batch in batches:
-            codes, counts, sizes = [], [], []
-            for raw in batch.column("raw").to_pylist():
-                words = (raw or b"").split()
-                codes.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
-                counts.append(len(words))
-            if known.new:
-                pieces = [_windows(w) for w in known.new]
-                own = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
-                sums = model.sums([s for p in pieces for s in p])
-                if len(own) != len(pieces):
-                    sums = np.add.reduceat(sums, np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])))
-                table = np.concatenate([table, sums])
-                known.new = []
-            total = np.zeros((len(counts), 2 * c))
-            for i, own in enumerate(codes):
-                if len(own):
-                    total[i] = table[own].sum(axis=0, dtype=np.float64)
+            total = np.zeros((len(batch), 2 * c))
+            # Few rows at a time, so that few texts are cut into segments at once.
+            for start in range(0, len(batch), 256):
+                codes = []
+                for raw in batch.column("raw").slice(start, 256).to_pylist():
+                    words = (raw or b"").split()
+                    codes.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
+                if known.new:
+                    pieces = [_windows(w) for w in known.new]
+                    own = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
+                    sums = model.sums([s for p in pieces for s in p])
+                    if len(own) != len(pieces):
+                        sums = np.add.reduceat(sums, np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])))
+                    if len(known) > len(table):
+                        table = np.concatenate([table, np.zeros((max(len(table), len(known)), 2 * c), np.float32)])
+                    table[len(known) - len(sums) : len(known)] = sums
+                    known.new = []
+                for i, own in enumerate(codes, start):
+                    if len(own):
+                        total[i] = table[own].sum(axis=0, dtype=np.float64)
+                if len(known) > REMEMBERED:
+                    known = _Known()
             sizes = np.round(total[:, c:].sum(axis=1)).astype(np.int64)
             some = sizes > 0
             best = np.where(total[:, c - 1] >= REJECTED * sizes, c - 1, total[:, : c - 1].argmax(axis=1))
@@ -229,8 +234,6 @@ def _labeller(model: Model):
                 [batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(prob, mask=~some), pa.array(sizes), pa.array(np.round(total[np.arange(len(best)), c + best]).astype(np.int64)), pa.array(some & (best < c - 1))],
                 ["doc_id", "lang", "prob", "positions", "own", "keep"],
             )
-            if len(known) > REMEMBERED:
-                known, table = _Known(), table[:0]
 
     return run
 
@@ -246,7 +249,7 @@ def identified(docs: DataFrame, model: Model | None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").cast("binary").alias("raw"))
     if model is None:
         return rows.select("doc_id", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("prob"), F.lit(0).cast("long").alias("positions"), F.lit(0).cast("long").alias("own"), F.lit(True).alias("keep"))
-    return rows.mapInArrow(_labeller(model), RESULT)
+    return rows.mapInArrow(tidy(_labeller(model)), RESULT)
 
 
 def languages_kept(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -269,7 +272,7 @@ def languages_kept(docs: DataFrame, model: Model | None) -> DataFrame:
         for verdict in label(texts()):
             yield held.pop().drop_columns([raw]).filter(verdict.column("keep"))
 
-    return docs.withColumn(raw, F.lower("text").cast("binary")).mapInArrow(run, docs.schema)
+    return docs.withColumn(raw, F.lower("text").cast("binary")).mapInArrow(tidy(run), docs.schema)
 
 
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
