@@ -32,7 +32,7 @@ ROWS = 32
 #: Mean members of a segment for the smallest set of a band; more make a segment rarer, and rarer left untouched.
 PER_SEGMENT = 4
 #: Verification: bytes of sets in one group, pairs of one segment word before its documents are split into tiles.
-GROUP_BYTES = 24 << 20
+GROUP_BYTES = 10 << 20
 TILE_PAIRS = 250_000
 
 SIGNATURE = "doc_id long, n int, set_a long, set_b long, sketch array<long>, words array<long>"

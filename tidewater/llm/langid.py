@@ -31,7 +31,7 @@ RATE = 0.02
 NOISE = "und"
 REJECTED = 0.6
 #: Distinct segments that a task remembers; beyond it forgets them all and goes on.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 RESULT = "doc_id long, lang string, prob double, positions long, own long, keep boolean"
 
