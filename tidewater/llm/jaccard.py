@@ -158,18 +158,8 @@ def _verify(t: float):
     return run
 
 
-def jaccard_join(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs of documents whose sets of word n-grams have a Jaccard coefficient of at least `threshold`.
-
-    Returns doc_a < doc_b, jaccard and shared (how many n-grams they have in common).  Documents of equal sets would make a
-    quadratic number of pairs that all say the same, so each of them is paired once, with the lowest doc_id of its set, which
-    alone stands for them in pairs with other sets: the coefficient of any two documents is that of their representatives.
-
-    Words are runs of ASCII letters and digits and of characters beyond ASCII, in lower case; a text of fewer words than n is one
-    n-gram.  A null text, or one without words, has no n-grams and no pairs; a null doc_id has none either.  Rows that share a
-    doc_id count as versions of one document, whose best pair counts.  Other columns are ignored.  The search misses a pair at the
-    very threshold with a chance of about 3 %, one above it ever more rarely; each pair returned is verified on whole sets.
-    """
+def _searched(docs: DataFrame, ngram: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs of representatives (doc_a, doc_b, jaccard, shared), and (rep, n, doc_id) of every other document of a representative's set."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).where("doc_id is not null and text is not null")
     signs = checkpointed(text.mapInArrow(tidy(_signatures(ngram, threshold)), SIGNATURE))
 
@@ -203,7 +193,39 @@ def jaccard_join(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHO
     routes = places.select("doc_id", cut).distinct()
     routed = sets.join(sized(routes, 24), "doc_id")
     checked = near.select("doc_a", "doc_b", cut).groupBy("cut").cogroup(routed.groupBy("cut")).applyInArrow(_verify(threshold), "doc_a long, doc_b long, jaccard double, shared long")
-    return checked.unionByName(same.select(F.col("rep").alias("doc_a"), F.col("doc_id").alias("doc_b"), F.lit(1.0).alias("jaccard"), F.col("n").cast("long").alias("shared")))
+    return checked, same
+
+
+def jaccard_join(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs, by sets of word n-grams, that link every two documents with a Jaccard coefficient of at least `threshold`; see `jaccard_pairs`.
+
+    Documents of equal sets make a quadratic number of pairs, so here each of them is paired once, with the lowest doc_id of its set,
+    which alone stands for them in pairs with other sets.  That is enough for `components`.
+    """
+    near, same = _searched(docs, ngram, threshold)
+    return near.unionByName(same.select(F.col("rep").alias("doc_a"), F.col("doc_id").alias("doc_b"), F.lit(1.0).alias("jaccard"), F.col("n").cast("long").alias("shared")))
+
+
+def jaccard_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD) -> DataFrame:
+    """Every pair of documents whose sets of word n-grams have a Jaccard coefficient of at least `threshold`.
+
+    Returns doc_a < doc_b, jaccard and shared (how many n-grams they have in common).  Sets are searched once each: the pairs found
+    are joined with all documents of both sets, and those of one set are paired among themselves.
+
+    Words are runs of ASCII letters and digits and of characters beyond ASCII, in lower case; a text of fewer words than n is one
+    n-gram.  A null text, or one without words, has no n-grams and no pairs; a null doc_id has none either.  Rows that share a
+    doc_id count as versions of one document, whose best pair counts.  Other columns are ignored.  The search misses a pair at the
+    very threshold with a chance of about 3 %, one above it ever more rarely; each pair returned is verified on whole sets.
+    """
+    near, same = _searched(docs, ngram, threshold)
+    members = same.select("rep", "n", "doc_id").unionByName(same.select("rep", "n", F.col("rep").alias("doc_id")).distinct())
+    side = sized(members.select("rep", F.col("doc_id").alias("member")), 16)
+    for end in ("doc_a", "doc_b"):
+        near = near.join(side, F.col(end) == F.col("rep"), "left").withColumn(end, F.coalesce("member", end)).drop("rep", "member")
+    near = near.select(F.least("doc_a", "doc_b").alias("doc_a"), F.greatest("doc_a", "doc_b").alias("doc_b"), "jaccard", "shared")
+    x, y = members.alias("x"), members.alias("y")
+    equal = x.join(y, (F.col("x.rep") == F.col("y.rep")) & (F.col("x.n") == F.col("y.n")) & (F.col("x.doc_id") < F.col("y.doc_id")))
+    return near.unionByName(equal.select(F.col("x.doc_id").alias("doc_a"), F.col("y.doc_id").alias("doc_b"), F.lit(1.0).alias("jaccard"), F.col("x.n").cast("long").alias("shared")))
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -230,7 +252,7 @@ def near_duplicates_removed(docs: DataFrame, ngram: int = NGRAM, threshold: floa
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return jaccard_pairs(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 OP9_SQL = """
