@@ -1,7 +1,8 @@
 """Secret scans: a keyword automaton, anchored expressions near its hits, and the checksums that secrets carry.
 
 One pass of an Aho-Corasick automaton over a text finds every keyword of every rule.  Only there a rule's expression is tried, anchored
-at the keyword, so no expression ever searches a text.  What it matches must pass the rule's own proof where the
+at the keyword, so no expression ever searches a text.  Cards and IBANs need no word before them: their issuer's digits and their
+country code are keywords themselves.  What an expression matches must pass the rule's own proof where the
 format has one (a CRC-32 in base 62, an IBAN's remainder, a card's Luhn digit, a token's header) or else look random enough.
 """
 
@@ -79,6 +80,34 @@ def _p(source: str, flags: int = 0) -> re.Pattern[bytes]:
 
 _W = r"(?<![A-Za-z0-9_])"
 _E = r"(?![A-Za-z0-9_])"
+#: The length of an IBAN of each country.
+_IBAN = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20,
+    "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30,
+    "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28,
+    "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24,
+    "XK": 20, "YE": 30,
+}
+#: First digits of the cards of Visa, Mastercard, American Express, Diners, JCB, Discover, UnionPay, Maestro, RuPay, Mir and Verve.
+_ISSUERS = ("4", "50", "51", "52", "53", "54", "55", "56", "57", "58", "60", "62", "63", "64", "65", "67", "68", "69", "81", "82", "34", "37", "30", "35", "36", "38", "39", *map(str, range(220, 273)))
+
+
+def _bare_iban() -> re.Pattern[bytes]:
+    """An IBAN of its country's length, in one piece or in groups of four."""
+    by: dict[int, list[str]] = {}
+    for country, n in _IBAN.items():
+        by.setdefault(n - 4, []).append(country)
+    tail = lambda n: f"(?:[A-Z0-9]{{{n}}}|(?: [A-Z0-9]{{4}}){{{n // 4}}}" + (f" [A-Z0-9]{{{n % 4}}})" if n % 4 else ")")
+    return _p(_W + "(?:" + "|".join(f"(?:{'|'.join(own)})[0-9]{{2}}{tail(n)}" for n, own in by.items()) + ")" + _E)
+
+
+def _bare_cards() -> list[Rule]:
+    """A rule for each way to write a card, so that digits which follow a card in another group are left out by one of them."""
+    shapes = ("[0-9]{13,19}", *(f"[0-9]{{4}}{s}[0-9]{{4}}{s}[0-9]{{4}}{s}[0-9]{{4}}{more}" for s in " -" for more in ("", f"{s}[0-9]{{1,3}}")), *(f"[0-9]{{4}}{s}[0-9]{{6}}{s}[0-9]{{4,5}}" for s in " -"))
+    first = "(?<![0-9][.,])(?=" + "|".join(_ISSUERS) + ")"
+    return [Rule("card_number", _ISSUERS, _p(_W + first + shape + _E), luhn, True) for shape in shapes]
+
+
 RULES = (
     Rule("github_token", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), _p(_W + r"gh[pousr]_[A-Za-z0-9]{36}" + _E), crc62, True),
     Rule("npm_token", ("npm_",), _p(_W + r"npm_[A-Za-z0-9]{36}" + _E), crc62, True),
@@ -90,6 +119,8 @@ RULES = (
     Rule("web_token", ("eyj",), _p(_W + r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), header, True),
     Rule("bank_account", ("iban",), _p(r"IBAN\W{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)" + _E, re.I), iban, True),
     Rule("card_number", ("card",), _p(r"card(?: ?(?:number|no\.?))?\W{0,3}([0-9](?:[ -]?[0-9]){12,18})(?![0-9])", re.I), luhn, True),
+    Rule("bank_account", tuple(f"{c.lower()}{d}" for c in _IBAN for d in range(10)), _bare_iban(), iban, True),
+    *_bare_cards(),
     Rule(
         "assigned_secret", ("token", "secret", "passwd", "password", "api_key", "apikey", "api-key", "access_key", "auth_key"),
         _p(r"""(?:token|secret|passwd|password|api[_-]?key|access_key|auth_key)["']?\s{0,4}[:=]\s{0,4}["']([A-Za-z0-9+/_=.-]{16,256})["']""", re.I), random_enough,
