@@ -39,3 +39,10 @@ def test_page_budget_is_150_of_all_that_is_reached(spark, customers):
     path, rows = customers
     want = {(r, x, d) for r in (1000, 1001, 1002) for d, x in sorted((d, x) for x, d in reached(rows, r, 3).items())[:150]}
     assert {tuple(x) for x in reports.bfs_page_budget(spark, path).collect()} == want and len(want) == 450
+
+
+def test_review_sort_numbers_every_customer(spark, customers):
+    path, rows = customers
+    order = sorted(rows, key=lambda r: (r[3] >= 0, r[2] < 5, r[2], r[1].lower()))
+    want = [(i, key, balance < 0, nation < 5, nation) for i, (key, _, nation, balance) in enumerate(order, 1)]
+    assert [tuple(r) for r in reports.multi_key_review_sort(spark, path).collect()] == want and len(want) == N
