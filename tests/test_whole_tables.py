@@ -46,3 +46,9 @@ def test_review_sort_numbers_every_customer(spark, customers):
     order = sorted(rows, key=lambda r: (r[3] >= 0, r[2] < 5, r[2], r[1].lower()))
     want = [(i, key, balance < 0, nation < 5, nation) for i, (key, _, nation, balance) in enumerate(order, 1)]
     assert [tuple(r) for r in reports.multi_key_review_sort(spark, path).collect()] == want and len(want) == N
+
+
+def test_prefixes_of_every_part_count(spark, tmp_path):
+    names = [f"{'early' if i < 500 else 'late'} part {i}" for i in range(6000)]
+    spark.createDataFrame(list(enumerate(names)), "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    assert {tuple(r) for r in reports.key_prefix_freq(spark, str(tmp_path)).collect()} == {("early", 500), ("late", 5500)}

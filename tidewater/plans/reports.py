@@ -156,8 +156,7 @@ def invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def key_prefix_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = table(spark, sf_dir, "part").orderBy("p_partkey").limit(500)
-    return first.groupBy(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, sf_dir, "part").groupBy(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def multi_key_review_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
