@@ -33,19 +33,47 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def give_back() -> None:
+    """Returns to the system what the allocators keep for reuse: workers live on and serve other stages, and it would count against the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function for mapInArrow that gives its memory back when a task ends: the workers live on and serve other stages, and what the
-    allocators keep for reuse would count against the executor."""
+    """A function for mapInArrow that gives its memory back when a task ends."""
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            give_back()
+
+    return wrapped
+
+
+def tidy_group(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """A function for applyInArrow that gives its memory back after each group."""
+
+    def wrapped(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def tidy_groups(run: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The same for cogroups."""
+
+    def wrapped(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return run(left, right)
+        finally:
+            give_back()
 
     return wrapped
 

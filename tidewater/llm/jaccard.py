@@ -3,13 +3,14 @@
 Each document is the set of its word n-grams.  A parity sketch of a set is a bit vector in which every member toggles one bit, so
 the XOR of two sketches is the sketch of the symmetric difference, and their Hamming distance never exceeds the size of that
 difference.  Jaccard >= t allows a symmetric difference of at most (1 - t) / (1 + t) of the summed sizes, and sizes that differ by
-a factor of at most t: sets are banded by size and only bands within that factor meet.
-
-Within a band the sketch is wide (a bit for each of 2^58 places in each segment) and sparse; a segment is represented by the XOR of
-one random word for each set bit, so equal segments have equal words.  A pair at the threshold differs in only so many places, which
-leaves a known share of the segments untouched (the pigeonhole); the words of `ROWS` segments are joined on equality.  A second,
-dense sketch of 256 bits discards candidates whose Hamming distance already exceeds the allowance, and the rest are verified on
-their whole sets.
+a factor of at most t: sets are banded by size and only sets of one band meet.
+
+Within a band the sketch is wide (a place for each of 2^58 values in each segment) and sparse; a non-empty segment is represented by
+the XOR of one random word for each member, so equal segments have equal words.  Two sets whose difference is at most D touch at most
+D of each other's segments.  All sets order their segments alike, rare ones first (by how many documents have the rarest member), and
+the D + 1 first are joined on equality: by the pigeonhole the first untouched segment of a pair is among them on both sides, so no
+pair is missed.  A pair is put down where its first common segment is.  A second, dense sketch of 256 bits discards candidates whose
+Hamming distance already exceeds the allowance, and the rest are verified on their whole sets.
 """
 
 from __future__ import annotations
@@ -22,59 +23,64 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import checkpointed, sized, tidy, without_ids
+from tidewater.llm.common import checkpointed, sized, tidy, tidy_group, tidy_groups, without_ids
 from tidewater.llm.hashing import U, mix, ngrams, word_hashes
 
 NGRAM = 2
 THRESHOLD = 0.7
-#: Segments of each document that are joined in either of its size bands.
-ROWS = 32
-#: Mean members of a segment for the smallest set of a band; more make a segment rarer, and rarer left untouched.
-PER_SEGMENT = 4
-#: Verification: bytes of sets in one group, pairs of one segment word before its documents are split into tiles.
+#: Bands grow by so much.  Sets of the bands below EACH members have a segment for each value; in others there are PER segments for each
+#: member of the smallest set, which is enough for more than D + 1 of them to hold something.
+GROWTH = 4
+EACH = 64
+PER = 4
+#: Counters of documents by n-gram, which order the segments.
+SLOTS = 1 << 16
+#: Segments in one group of the join on average, and documents that may share one before they are split into tiles.
+BUCKET_KEYS = 2_000_000
+TILE_DOCS = 200_000
+#: First segments of each set that tell whether a pair has met before.
+FIRST = 4
+#: Verification: bytes of sets in one group, pairs of one segment before its documents are split into tiles.
 GROUP_BYTES = 10 << 20
 TILE_PAIRS = 250_000
 
-SIGNATURE = "doc_id long, n int, set_a long, set_b long, sketch array<long>, words array<long>"
-
+SIGNATURE = "doc_id long, n int, sid long, sketch array<long>, slots array<int>"
+PACKED = "bucket int, codes binary, own binary, sids binary, spaces binary, firsts binary"
+LOW = U(0xFFFFFFFF)
 
-def band(n: int, t: float) -> int:
-    """Bands grow by 1/t, so a pair within the size ratio t lies in one band or in two neighbours."""
-    return int(math.floor(math.log(n) / -math.log(t) + 1e-9))
 
+def spaces(n: int, t: float) -> list[tuple[int, int]]:
+    """The bands in which a set of n members meets others, each with the greatest difference from any of them.
 
-def segments(b: int, t: float, per: int = PER_SEGMENT) -> tuple[int, int]:
-    """For the space of bands b and b + 1: the number of segments of one sketch and how many independent sketches are used."""
-    low = (1 / t) ** b
-    most = (1 - t) / (1 + t) * (low / t + low / t / t)
-    count = max(1, round(low / per)) if low >= 4 * per else int(most) + 1
-    return count, max(1, math.ceil(ROWS / count))
+    Band b has the sets from GROWTH^b members up to those 1/t times as large as the last one below GROWTH^(b + 1)."""
+    b = 0
+    while GROWTH ** (b + 1) <= n:
+        b += 1
+    share = (1 - t) / (1 + t)
+    out = [(b, int(share * (n + n / t) + 1e-9))]
+    below = GROWTH**b - 1
+    if b and n * t <= below + 1e-9:
+        out.append((b - 1, int(share * (n + below) + 1e-9)))
+    return out
 
 
-def segment_words(grams: np.ndarray, t: float) -> np.ndarray:
-    """The segment words of one set, in the space of its own band and in that of the band below."""
-    own = band(len(grams), t)
+def keys(grams: np.ndarray, t: float, weights: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """For each band of a set: the band, the words of its D + 1 rarest segments, and how many documents have their rarest member."""
     out = []
-    for space in (own, own - 1):
-        if space < 0:
-            continue
-        count, rounds = segments(space, t)
-        least = 3 if count * PER_SEGMENT >= 24 else 1
-        for r in range(rounds):
-            h = grams if not r else mix(grams + U(r) * U(0x9FB21C651E98DF25))
-            at = (h >> U(32)) % U(count)
-            if count > ROWS:
-                some = at < U(ROWS)
-                h, at = h[some], at[some]
-            order = np.argsort(at.astype(np.uint16), kind="stable")
+    often = weights[(grams >> U(48)).astype(np.int64)]
+    for space, most in spaces(len(grams), t):
+        if GROWTH**space < EACH:
+            words, rare = mix(grams ^ U(0x5851F42D4C957F2D) + U(space)), often
+        else:
+            at = (grams >> U(16)) % U(PER * GROWTH**space)
+            order = np.argsort(at, kind="stable")
             at = at[order]
-            if not len(at):
-                continue
             first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-            big = np.diff(np.append(first, len(at))) >= least
-            words = np.bitwise_xor.reduceat(mix(h[order] ^ U(0x5851F42D4C957F2D)), first)[big]
-            out.append(mix(words + mix(at[first[big]] + U(64 * r) + U(1 << 20) * U(space + 1))))
-    return np.concatenate(out) if out else np.zeros(0, U)
+            words = mix(np.bitwise_xor.reduceat(mix(grams[order] ^ U(0x5851F42D4C957F2D)), first) + mix(at[first] + U(space << 40)))
+            rare = np.minimum.reduceat(often[order], first)
+        some = np.lexsort((words, rare))[: most + 1]
+        out.append((space, words[some], rare[some]))
+    return out
 
 
 def _sketch(grams: np.ndarray) -> np.ndarray:
@@ -82,6 +88,12 @@ def _sketch(grams: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def set_id(grams: np.ndarray) -> np.ndarray:
+    """64 bits that stand for a set."""
+    one = mix(np.bitwise_xor.reduce(mix(grams ^ U(0x2545F4914F6CDD1D))) + U(len(grams)))
+    return mix(one + mix(grams.sum(dtype=U)))
+
+
 def _lists(values: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array((np.concatenate(values) if values else np.zeros(0, U)).view(np.int64)))
@@ -94,138 +106,264 @@ def _grams(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
                 yield start + i, ngrams(hashes[at[i] : at[i + 1]], n)
 
 
-def _flush(ids: np.ndarray, n: list, a: list, b: list, sketches: list, words: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids), pa.array(n, pa.int32()), pa.array(np.array(a, U).view(np.int64)), pa.array(np.array(b, U).view(np.int64)), _lists(sketches), _lists(words)],
-        ["doc_id", "n", "set_a", "set_b", "sketch", "words"],
-    )
+def _grams(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    for start, end, hashes, at in word_hashes(batch.column("text")):
+        for i in range(end - start):
+            if at[i + 1] > at[i]:
+                yield start + i, ngrams(hashes[at[i] : at[i + 1]], n)
 
 
-def _signatures(n: int, t: float):
+def _signatures(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = np.zeros(SLOTS, np.int64)
+        names = ["doc_id", "n", "sid", "sketch", "slots"]
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            rows, sizes, a, b, sketches, words = [], [], [], [], [], []
+            rows, sizes, sids, sketches = [], [], [], []
             with np.errstate(over="ignore"):
                 for row, grams in _grams(batch, n):
                     rows.append(row)
                     sizes.append(len(grams))
-                    a.append(mix(np.bitwise_xor.reduce(mix(grams ^ U(0x2545F4914F6CDD1D))) + U(len(grams))))
-                    b.append(grams.sum(dtype=U))
+                    sids.append(set_id(grams))
                     sketches.append(_sketch(grams).view(U))
-                    words.append(segment_words(grams, t))
-            yield _flush(ids[rows], sizes, a, b, sketches, words)
+                    # Sorted as they are, their first bits are sorted, too.
+                    slot = (grams >> U(48)).astype(np.int64)
+                    often[slot[np.flatnonzero(np.diff(slot, prepend=-1))]] += 1
+            none = np.ones(len(batch), np.bool_)
+            none[rows] = False
+            order = np.argsort(np.concatenate([rows, np.flatnonzero(none)]).astype(np.int64), kind="stable")
+            blank = int(none.sum())
+            own = [pa.array(sizes, pa.int32()), pa.array(np.array(sids, U).view(np.int64)), _lists(sketches)]
+            own = [pa.concat_arrays([x, pa.nulls(blank, x.type)]).take(pa.array(order)) for x in own]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *own, pa.nulls(len(batch), pa.list_(pa.int32()))], names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())), pa.array([np.minimum(often, 1 << 30)], pa.list_(pa.int32()))], names)
+
+    return run
+
+
+def _bytes(values: np.ndarray) -> bytes:
+    """Whole numbers of 64 bits: how many, and their bytes, each kind apart, compressed."""
+    return len(values).to_bytes(4, "little") + pa.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
+
+
+def _values(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:4], "little")
+    return np.ascontiguousarray(np.frombuffer(pa.decompress(raw[4:], 8 * n, "zstd", asbytes=True), np.uint8).reshape(8, n).T).view(U).ravel()
+
+
+def _packer(n: int, t: float, weights: np.ndarray, buckets: int, tile: int):
+    """The segments of some thousand documents at a time, by the bucket in which they meet others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What a counter has from chance is no reason to split.
+        noise = 2 * int(weights.mean())
+        for batch in batches:
+            with np.errstate(over="ignore"):
+                sids, where, firsts, words, own, tiles = [], [], [], [], [], []
+                for _, grams in _grams(batch, n):
+                    sid = set_id(grams)
+                    for space, key, rare in keys(grams, t, weights):
+                        head = np.zeros(FIRST, np.uint32)
+                        head[: len(key[:FIRST])] = key[:FIRST] & LOW
+                        own.append(np.full(len(key), len(sids), np.int64))
+                        words.append(key), tiles.append(np.clip((rare.astype(np.int64) - noise) // tile + 1, 1, 255))
+                        sids.append(sid), where.append(space), firsts.append(head)
+                if not sids:
+                    continue
+                sid, space, first = np.array(sids, U), np.array(where, np.uint8), np.stack(firsts)
+                key, who, many = np.concatenate(words), np.concatenate(own), np.concatenate(tiles)
+                r = (sid[who] % many.astype(U)).astype(np.int64)
+                # A segment that very many share goes to a tile for each other part of its documents.
+                again = np.repeat(np.arange(len(key)), many)
+                other = np.arange(len(again)) - np.repeat(np.cumsum(many) - many, many)
+                key, who, many, r = key[again], who[again], many[again], r[again]
+                low, high = np.minimum(r, other).astype(U), np.maximum(r, other).astype(U)
+                code = (key & U((1 << 40) - 1)) << U(24) | many.astype(U) << U(16) | low << U(8) | high
+                bucket = (mix((key >> U(40)) + (low << U(8) | high) * U(0x9FB21C651E98DF25)) % U(buckets)).astype(np.int64)
+                order = np.lexsort((code, bucket))
+                bucket, code, who = bucket[order], code[order], who[order]
+                cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
+                out: tuple[list, ...] = ([], [], [], [], [], [])
+                for a, b in zip(cuts, cuts[1:], strict=False):
+                    some, which = np.unique(who[a:b], return_inverse=True)
+                    which = pa.compress(which.astype(np.uint16 if len(some) < 65536 else np.uint32).tobytes(), "zstd", asbytes=True)
+                    for column, value in zip(out, (int(bucket[a]), _bytes(np.diff(code[a:b], prepend=U(0))), which, sid[some].tobytes(), space[some].tobytes(), first[some].tobytes()), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:])], ["bucket", "codes", "own", "sids", "spaces", "firsts"])
 
     return run
 
 
+def _runs(code: np.ndarray, own: np.ndarray, step: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Segment, and both sets, of all pairs that share a segment, some at a time; `code` is sorted."""
+    start = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    size = np.diff(np.append(start, len(code)))
+    for n in np.unique(size[size > 1]).tolist():
+        these = start[size == n]
+        if n <= 64:
+            i, j = np.triu_indices(n, 1)
+            for at in range(0, len(these), max(1, step // len(i))):
+                some = these[at : at + max(1, step // len(i))]
+                yield np.repeat(code[some], len(i)), own[some[:, None] + i].ravel(), own[some[:, None] + j].ravel()
+        else:
+            for a in these.tolist():
+                for i in range(a, a + n - 1, max(1, step // n)):
+                    x = np.arange(i, min(i + max(1, step // n), a + n - 1))
+                    many = a + n - 1 - x
+                    left = np.repeat(x, many)
+                    right = np.arange(len(left)) - np.repeat(np.cumsum(many) - many, many) + left + 1
+                    yield np.full(len(left), code[a]), own[left], own[right]
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    """Pairs of sets whose first common segment is in this bucket."""
+    codes, own, sids, spaces_, firsts, before = [], [], [], [], [], 0
+    for c, o, s, p, f in zip(*(table.column(x).to_pylist() for x in ("codes", "own", "sids", "spaces", "firsts")), strict=True):
+        with np.errstate(over="ignore"):
+            codes.append(np.cumsum(_values(c), dtype=U))
+        some = np.frombuffer(s, U)
+        kind = np.uint16 if len(some) < 65536 else np.uint32
+        own.append(np.frombuffer(pa.decompress(o, len(codes[-1]) * np.dtype(kind).itemsize, "zstd", asbytes=True), kind).astype(np.int64) + before)
+        sids.append(some), spaces_.append(np.frombuffer(p, np.uint8)), firsts.append(np.frombuffer(f, np.uint32).reshape(-1, FIRST))
+        before += len(some)
+    code, own, sid, space, first = (np.concatenate(x) for x in (codes, own, sids, spaces_, firsts))
+    # Equal sets are one.
+    with np.errstate(over="ignore"):
+        _, at, which = np.unique(sid + space.astype(U) * U(0xD1342543DE82EF95), return_index=True, return_inverse=True)
+    own, sid, first = which[own], sid[at], first[at]
+    order = np.lexsort((own, code))
+    code, own = code[order], own[order]
+    keep = np.ones(len(code), np.bool_)
+    keep[1:] = (code[1:] != code[:-1]) | (own[1:] != own[:-1])
+    code, own = code[keep], own[keep]
+    found: list[np.ndarray] = []
+    for k, a, b in _runs(code, own):
+        tiles = (k >> U(16)) & U(255)
+        fit = (tiles == U(1)) | ((k >> U(8)) & U(255) == k & U(255)) | (sid[a] % tiles != sid[b] % tiles)
+        low = ((k >> U(24)) & LOW).astype(np.uint32)
+        x, y = first[a], first[b]
+        for i in range(FIRST):
+            # A segment of both that comes before this one.
+            ahead_x = ~(x[:, : i + 1] == low[:, None]).any(axis=1) & (x[:, i] != 0)
+            for j in range(FIRST):
+                fit &= ~(ahead_x & (x[:, i] == y[:, j]) & ~(y[:, : j + 1] == low[:, None]).any(axis=1))
+        if fit.any():
+            found.append(np.stack([np.minimum(sid[a[fit]].view(np.int64), sid[b[fit]].view(np.int64)), np.maximum(sid[a[fit]].view(np.int64), sid[b[fit]].view(np.int64)), k[fit].view(np.int64)]))
+    a, b, k = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+    return pa.table({"sid_a": pa.array(a), "sid_b": pa.array(b), "word": pa.array(k)})
+
+
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Sets are larger than their texts, so they go out some rows at a time.
         for batch in (b.slice(at, 512) for b in batches for at in range(0, len(b), 512)):
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            rows, grams = [], []
-            for row, g in _grams(batch, n):
-                rows.append(row)
-                grams.append(g)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), _lists(grams)], ["doc_id", "grams"])
+            with np.errstate(over="ignore"):
+                grams = [g for _, g in _grams(batch, n)]
+                sids = np.array([set_id(g) for g in grams], U).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(sids), _lists(grams)], ["sid", "grams"])
 
     return run
 
 
 def _verify(t: float):
     def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-        own: dict[int, list[np.ndarray]] = {}
         grams = sets.column("grams").combine_chunks()
         at, flat = grams.offsets.to_numpy(), grams.values.to_numpy(zero_copy_only=False).view(U)
-        for i, d in enumerate(sets.column("doc_id").to_pylist()):
-            own.setdefault(d, []).append(flat[at[i] : at[i + 1]])
+        own = {s: flat[at[i] : at[i + 1]] for i, s in enumerate(sets.column("sid").to_pylist())}
         a, b, j, shared = [], [], [], []
-        for x, y in zip(pairs.column("doc_a").to_pylist(), pairs.column("doc_b").to_pylist(), strict=True):
-            best = (0.0, 0)
-            for p in own.get(x, ()):
-                for q in own.get(y, ()):
-                    if len(p) > len(q):
-                        p, q = q, p
-                    where = np.searchsorted(q, p)
-                    where[where == len(q)] = 0
-                    same = int(np.count_nonzero(q[where] == p))
-                    best = max(best, (same / (len(p) + len(q) - same), same))
-            if best[0] >= t:
-                a.append(x), b.append(y), j.append(best[0]), shared.append(best[1])
-        return pa.table({"doc_a": pa.array(a, pa.int64()), "doc_b": pa.array(b, pa.int64()), "jaccard": pa.array(j, pa.float64()), "shared": pa.array(shared, pa.int64())})
+        for x, y in zip(pairs.column("sid_a").to_pylist(), pairs.column("sid_b").to_pylist(), strict=True):
+            p, q = own[x], own[y]
+            if len(p) > len(q):
+                p, q = q, p
+            where = np.searchsorted(q, p)
+            where[where == len(q)] = 0
+            same = int(np.count_nonzero(q[where] == p))
+            if same / (len(p) + len(q) - same) >= t:
+                a.append(x), b.append(y), j.append(same / (len(p) + len(q) - same)), shared.append(same)
+        return pa.table({"sid_a": pa.array(a, pa.int64()), "sid_b": pa.array(b, pa.int64()), "jaccard": pa.array(j, pa.float64()), "shared": pa.array(shared, pa.int64())})
 
     return run
 
 
-def _searched(docs: DataFrame, ngram: int, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs of representatives (doc_a, doc_b, jaccard, shared), and (rep, n, doc_id) of every other document of a representative's set."""
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).where("doc_id is not null and text is not null")
-    signs = checkpointed(text.mapInArrow(tidy(_signatures(ngram, threshold)), SIGNATURE))
-
-    same = checkpointed(signs.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("rep"), F.collect_set("doc_id").alias("docs")).where(F.size("docs") > 1).select("rep", "n", F.explode("docs").alias("doc_id")).where("rep <> doc_id"))
-    heads = signs.join(sized(same.select("doc_id").distinct(), 16), "doc_id", "left_anti")
-
-    # Candidates: representatives that share a segment word, within the size ratio, whose dense sketches are near enough.
-    rows = heads.select("doc_id", "n", F.explode("words").alias("word"))
-    x, y = rows.alias("x"), rows.alias("y")
-    met = x.join(y, (F.col("x.word") == F.col("y.word")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.n") >= threshold * F.col("y.n")) & (F.col("y.n") >= threshold * F.col("x.n")))
-    found = met.groupBy(F.col("x.doc_id").alias("doc_a"), F.col("y.doc_id").alias("doc_b")).agg(F.min("x.word").alias("word"))
-    found = checkpointed(found)
-    needed = found.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id")).distinct()
-    needed = checkpointed(needed)
-    dense = signs.join(sized(needed, 16), "doc_id", "left_semi").select("doc_id", "n", "sketch").dropDuplicates(["doc_id"])
-    near = found.join(dense.selectExpr("doc_id as doc_a", "n as n_a", "sketch as s_a"), "doc_a").join(dense.selectExpr("doc_id as doc_b", "n as n_b", "sketch as s_b"), "doc_b")
-    distance = sum((F.bit_count(F.col("s_a")[i].bitwiseXOR(F.col("s_b")[i])) for i in range(4)), F.lit(0))
-    near = near.where(distance <= F.lit((1 - threshold) / (1 + threshold) + 1e-9) * (F.col("n_a") + F.col("n_b")))
-
-    # Pairs go where one segment word sends them, in tiles if there are very many; sets follow.
+def set_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD, bucket: int = BUCKET_KEYS, tile: int = TILE_DOCS) -> tuple[DataFrame, DataFrame]:
+    """Versions (doc_id, sid, n), one for each distinct doc_id and set, sid null without n-grams; and pairs of different sets (sid_a, sid_b, jaccard, shared)."""
+    spark = docs.sparkSession
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).where("doc_id is not null")
+    signs = checkpointed(text.mapInArrow(tidy(_signatures(ngram)), SIGNATURE))
+    weights, total = np.zeros(SLOTS, np.int64), signs.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
+    for slot, often in signs.where("slots is not null").select(F.posexplode("slots")).where("col > 0").groupBy("pos").agg(F.sum("col")).collect():
+        weights[slot] = often
+    versions = signs.where("doc_id is not null").select("doc_id", "sid", "n").distinct()
+    # What follows from the set alone is the same in all of its documents.
+    heads = signs.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), *(F.min(F.col("sketch")[i]).alias(f"s{i}") for i in range(4)))
+
+    places = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total * 0.6 / bucket))
+    packed = text.where("text is not null").mapInArrow(tidy(_packer(ngram, threshold, weights, places, tile)), PACKED)
+    met = packed.repartition(places, "bucket").groupBy("bucket").applyInArrow(tidy_group(_meet), "sid_a long, sid_b long, word long")
+    found = checkpointed(met.groupBy("sid_a", "sid_b").agg(F.min("word").alias("word")))
+
+    # Candidates within the size ratio whose dense sketches are near enough.
+    needed = checkpointed(found.select(F.explode(F.array("sid_a", "sid_b")).alias("sid")).distinct())
+    dense = checkpointed(heads.join(sized(needed, 16), "sid", "left_semi"))
+    near = found
+    for end in "ab":
+        near = near.join(dense.drop("doc_id").withColumnsRenamed({c: f"{c}_{end}" for c in ("sid", "n", "s0", "s1", "s2", "s3")}), f"sid_{end}")
+    distance = sum((F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(4)), F.lit(0))
+    near = near.where((F.col("n_a") >= threshold * F.col("n_b") - 1e-9) & (F.col("n_b") >= threshold * F.col("n_a") - 1e-9) & (distance <= F.lit((1 - threshold) / (1 + threshold) + 1e-9) * (F.col("n_a") + F.col("n_b"))))
+
+    # Pairs go where one segment sends them, in tiles if there are very many; sets follow.
     tiles = near.groupBy("word").agg(F.ceil(F.sqrt(F.count(F.lit(1)) / F.lit(float(TILE_PAIRS)))).cast("int").alias("tiles"))
-    near = near.join(tiles, "word").withColumn("place", F.when(F.col("tiles") == 1, F.xxhash64("word")).otherwise(F.xxhash64("word", F.pmod(F.xxhash64("doc_a"), "tiles"), F.pmod(F.xxhash64("doc_b"), "tiles"))))
-    near = checkpointed(near.select("doc_a", "doc_b", "n_a", "n_b", "place"))
-    places = near.select(F.explode(F.array(F.struct(F.col("doc_a").alias("doc_id"), F.col("n_a").alias("n")), F.struct(F.col("doc_b").alias("doc_id"), F.col("n_b").alias("n")))).alias("d"), "place").select("d.doc_id", "d.n", "place").distinct()
-    places = checkpointed(places)
-    total = places.agg(F.sum(F.col("n") * 8.0)).first()[0] or 0.0
-    groups = max(1, math.ceil(total / GROUP_BYTES), docs.sparkSession.sparkContext.defaultParallelism)
+    near = near.join(tiles, "word").withColumn("place", F.when(F.col("tiles") == 1, F.xxhash64("word")).otherwise(F.xxhash64("word", F.pmod(F.xxhash64("sid_a"), "tiles"), F.pmod(F.xxhash64("sid_b"), "tiles"))))
+    near = checkpointed(near.select("sid_a", "sid_b", "n_a", "n_b", "place"))
+    ends = F.explode(F.array(F.struct(F.col("sid_a").alias("sid"), F.col("n_a").alias("n")), F.struct(F.col("sid_b").alias("sid"), F.col("n_b").alias("n")))).alias("d")
+    routes = checkpointed(near.select(ends, "place").select("d.sid", "d.n", "place").distinct())
+    size = routes.agg(F.sum(F.col("n") * 8.0)).first()[0] or 0.0
+    groups = max(1, math.ceil(size / GROUP_BYTES), spark.sparkContext.defaultParallelism)
     cut = F.pmod(F.col("place"), F.lit(groups)).cast("int").alias("cut")
-    wanted = sized(places.select("doc_id").distinct(), 16)
-    sets = text.join(wanted, "doc_id", "left_semi").mapInArrow(tidy(_sets(ngram)), "doc_id long, grams array<long>")
-    routes = places.select("doc_id", cut).distinct()
-    routed = sets.join(sized(routes, 24), "doc_id")
-    checked = near.select("doc_a", "doc_b", cut).groupBy("cut").cogroup(routed.groupBy("cut")).applyInArrow(_verify(threshold), "doc_a long, doc_b long, jaccard double, shared long")
-    return checked, same
+    # The text of one document stands for each set.
+    wanted = checkpointed(dense.select("doc_id", "sid").join(sized(routes.select("sid").distinct(), 16), "sid", "left_semi"))
+    routes = routes.select("sid", cut).distinct()
+    one = wanted.select("doc_id").distinct()
+    sets = text.join(sized(one, 16), "doc_id", "left_semi").mapInArrow(tidy(_sets(ngram)), "sid long, grams array<long>")
+    routed = sets.join(sized(routes, 24), "sid")
+    checked = near.select("sid_a", "sid_b", cut).groupBy("cut").cogroup(routed.groupBy("cut")).applyInArrow(tidy_groups(_verify(threshold)), "sid_a long, sid_b long, jaccard double, shared long")
+    return versions, checkpointed(checked)
 
 
 def jaccard_join(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs, by sets of word n-grams, that link every two documents with a Jaccard coefficient of at least `threshold`; see `jaccard_pairs`.
+    """Pairs doc_a < doc_b, jaccard and shared (how many n-grams they have in common) that link all documents of a coefficient of at least `threshold`.
 
-    Documents of equal sets make a quadratic number of pairs, so here each of them is paired once, with the lowest doc_id of its set,
-    which alone stands for them in pairs with other sets.  That is enough for `components`.
+    Each set of n-grams is represented by the lowest doc_id that has it: representatives are paired with those of other sets, and every
+    other document with the representative of its own set.  See `linked` for what counts as a set.
     """
-    near, same = _searched(docs, ngram, threshold)
+    versions, pairs = set_pairs(docs, ngram, threshold)
+    heads = checkpointed(versions.where("sid is not null").groupBy("sid", "n").agg(F.min("doc_id").alias("rep")))
+    for end in "ab":
+        pairs = pairs.join(heads.select(F.col("sid").alias(f"sid_{end}"), F.col("rep").alias(f"rep_{end}")), f"sid_{end}")
+    near = pairs.where("rep_a <> rep_b").select(F.least("rep_a", "rep_b").alias("doc_a"), F.greatest("rep_a", "rep_b").alias("doc_b"), "jaccard", "shared")
+    same = versions.join(heads, ["sid", "n"]).where("doc_id <> rep")
     return near.unionByName(same.select(F.col("rep").alias("doc_a"), F.col("doc_id").alias("doc_b"), F.lit(1.0).alias("jaccard"), F.col("n").cast("long").alias("shared")))
 
 
-def jaccard_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD) -> DataFrame:
-    """Every pair of documents whose sets of word n-grams have a Jaccard coefficient of at least `threshold`.
-
-    Returns doc_a < doc_b, jaccard and shared (how many n-grams they have in common).  Sets are searched once each: the pairs found
-    are joined with all documents of both sets, and those of one set are paired among themselves.
+def linked(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id and links for every document: the lowest doc_id that links connect it to, and how many others it is linked with.
 
-    Words are runs of ASCII letters and digits and of characters beyond ASCII, in lower case; a text of fewer words than n is one
-    n-gram.  A null text, or one without words, has no n-grams and no pairs; a null doc_id has none either.  Rows that share a
-    doc_id count as versions of one document, whose best pair counts.  Other columns are ignored.  The search misses a pair at the
-    very threshold with a chance of about 3 %, one above it ever more rarely; each pair returned is verified on whole sets.
+    Two documents are linked if their sets of word n-grams have a Jaccard coefficient of at least `threshold`.  Words are runs of ASCII
+    letters and digits and of characters beyond ASCII, in lower case; a text of fewer words than n is one n-gram.  A null text, or one
+    without words, has no n-grams: it is a class of its own with no links.  Texts may have any length.  Rows alike in doc_id and set are
+    one document; rows that share a doc_id but differ in their sets are versions, each of which gives a row and counts by itself.  Rows
+    with a null doc_id are left out, other columns ignored.  No pair is missed; sets are known by 64 bits of hashes, and each pair of
+    different sets is verified on the whole sets.
     """
-    near, same = _searched(docs, ngram, threshold)
-    members = same.select("rep", "n", "doc_id").unionByName(same.select("rep", "n", F.col("rep").alias("doc_id")).distinct())
-    side = sized(members.select("rep", F.col("doc_id").alias("member")), 16)
-    for end in ("doc_a", "doc_b"):
-        near = near.join(side, F.col(end) == F.col("rep"), "left").withColumn(end, F.coalesce("member", end)).drop("rep", "member")
-    near = near.select(F.least("doc_a", "doc_b").alias("doc_a"), F.greatest("doc_a", "doc_b").alias("doc_b"), "jaccard", "shared")
-    x, y = members.alias("x"), members.alias("y")
-    equal = x.join(y, (F.col("x.rep") == F.col("y.rep")) & (F.col("x.n") == F.col("y.n")) & (F.col("x.doc_id") < F.col("y.doc_id")))
-    return near.unionByName(equal.select(F.col("x.doc_id").alias("doc_a"), F.col("y.doc_id").alias("doc_b"), F.lit(1.0).alias("jaccard"), F.col("x.n").cast("long").alias("shared")))
+    versions, pairs = set_pairs(docs, ngram, threshold)
+    sets = checkpointed(versions.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
+    both = pairs.select(F.col("sid_a").alias("sid"), F.col("sid_b").alias("other")).unionByName(pairs.select(F.col("sid_b").alias("sid"), F.col("sid_a").alias("other")))
+    far = both.join(sets.select(F.col("sid").alias("other"), "copies"), "other").groupBy("sid").agg(F.sum("copies").alias("far"))
+    heads = components(pairs.select(F.col("sid_a").alias("doc_a"), F.col("sid_b").alias("doc_b"))).select(F.col("doc_id").alias("sid"), "head")
+    sets = checkpointed(sets.join(far, "sid", "left").join(heads, "sid", "left").withColumn("head", F.coalesce("head", "sid")))
+    classes = sets.groupBy("head").agg(F.min("rep").alias("class_id"))
+    known = sets.join(classes, "head").select("sid", "class_id", (F.col("copies") - 1 + F.coalesce("far", F.lit(0))).alias("links"))
+    rows = versions.select("doc_id", "sid").join(known, "sid", "left")
+    return rows.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -246,28 +384,35 @@ def components(pairs: DataFrame) -> DataFrame:
 
 
 def near_duplicates_removed(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` less every document that is linked, by pairs of `jaccard_join`, to one of a lower doc_id; columns as they came."""
-    linked = components(jaccard_join(docs, ngram, threshold))
-    return without_ids(docs, linked.where("doc_id <> head"))
+    """`docs` less every document that links connect to one of a lower doc_id, see `linked`; columns as they came.
+
+    All rows of a doc_id stay or go together: they go if any version of it is in a class with a lower doc_id.  Rows with a null
+    doc_id stay, as do texts without words."""
+    return without_ids(docs, linked(docs, ngram, threshold).where("doc_id <> class_id"))
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_pairs(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """`linked` over all documents."""
+    return linked(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 OP9_SQL = """
-WITH words AS (
+WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(lower(text), '(?:[a-z0-9]|[^\\x00-\\x7F])+') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
 grams AS (
-  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN [w[1]] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS g
+  SELECT DISTINCT doc_id, w, unnest(CASE WHEN len(w) = 1 THEN [w[1]] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS g
   FROM words WHERE len(w) > 0),
-sets AS (SELECT doc_id, list(g ORDER BY g) AS gs, count(*) AS n FROM grams GROUP BY doc_id),
-heads AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY gs) AS rep FROM sets),
-own AS (SELECT g.doc_id, g.g, h.n FROM grams g JOIN heads h ON g.doc_id = h.doc_id WHERE h.rep = h.doc_id),
-met AS (
-  SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, count(*) AS shared, max(a.n) AS n_a, max(b.n) AS n_b
-  FROM own a JOIN own b ON a.g = b.g AND a.doc_id < b.doc_id AND a.n >= 0.7 * b.n AND b.n >= 0.7 * a.n GROUP BY 1, 2)
-SELECT doc_a, doc_b, CAST(shared AS DOUBLE) / (n_a + n_b - shared) AS jaccard, CAST(shared AS BIGINT) AS shared
-FROM met WHERE CAST(shared AS DOUBLE) / (n_a + n_b - shared) >= 0.7
-UNION ALL SELECT rep, doc_id, CAST(1.0 AS DOUBLE), CAST(n AS BIGINT) FROM heads WHERE rep <> doc_id
+versions AS (
+  SELECT doc_id, gs, row_number() OVER (ORDER BY doc_id, gs) AS v, len(gs) AS n
+  FROM (SELECT DISTINCT doc_id, gs FROM (SELECT doc_id, w, list(g ORDER BY g) AS gs FROM grams GROUP BY doc_id, w))),
+own AS (SELECT v, n, unnest(gs) AS g FROM versions),
+pairs AS (
+  SELECT a.v AS a, b.v AS b FROM own a JOIN own b ON a.g = b.g AND a.v <> b.v AND a.n >= 0.7 * b.n AND b.n >= 0.7 * a.n
+  GROUP BY a.v, b.v HAVING CAST(count(*) AS DOUBLE) / (max(a.n) + max(b.n) - count(*)) >= 0.7),
+reach AS (SELECT v, v AS x FROM versions UNION SELECT r.v, p.b FROM reach r JOIN pairs p ON r.x = p.a),
+classes AS (SELECT r.v, min(o.doc_id) AS class_id FROM reach r JOIN versions o ON o.v = r.x GROUP BY r.v)
+SELECT v.doc_id, c.class_id, coalesce(k.links, 0) AS links
+FROM versions v JOIN classes c ON c.v = v.v LEFT JOIN (SELECT a, count(*) AS links FROM pairs GROUP BY a) k ON k.a = v.v
+UNION ALL SELECT DISTINCT d.doc_id, d.doc_id, CAST(0 AS BIGINT) FROM documents d
+WHERE d.doc_id IS NOT NULL AND (d.text IS NULL OR len(regexp_extract_all(lower(d.text), '(?:[a-z0-9]|[^\\x00-\\x7F])+')) = 0)
 """
