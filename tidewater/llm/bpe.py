@@ -29,14 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import tidy
+from tidewater.llm.common import tidy, tidy_group, tidy_groups
 from tidewater.llm.hashing import P, P_INV, U, mix
 
 #: The vocabulary, read by the driver alone, and the pattern that cuts texts into words, which `_words` follows without running it.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of text in one block, and of those that are cut into words at a time.
-BLOCK_CHARS = 12 << 20
+BLOCK_CHARS = 8 << 20
 CHUNK = 1 << 18
 #: Bytes of a word that are folded at once.
 WINDOW = 64
@@ -266,7 +266,7 @@ def _packed(values: np.ndarray) -> bytes:
 
 def _unpacked(raw: bytes) -> np.ndarray:
     n = int.from_bytes(raw[:4], "little")
-    return np.ascontiguousarray(np.frombuffer(pa.decompress(raw[4:], 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(pa.decompress(raw[4:], 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n).T).view("<i4").ravel()
 
 
 def _bundle(words: list[bytes]) -> bytes:
@@ -277,7 +277,7 @@ def _bundle(words: list[bytes]) -> bytes:
 
 def _unbundled(raw: bytes) -> pa.Array:
     cut, body = int.from_bytes(raw[:4], "little") + 8, int.from_bytes(raw[4:8], "little")
-    at = np.concatenate([[0], np.cumsum(_unpacked(raw[8:cut]))]).astype(np.int32)
+    at = np.concatenate([[0], np.cumsum(_unpacked(raw[8:cut]), dtype=np.int64)]).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(pa.decompress(raw[cut:], body, "zstd", asbytes=True))])
 
 
@@ -433,6 +433,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat, sizes = ids.flatten().to_numpy(zero_copy_only=False), ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             at, counts = np.cumsum(sizes) - sizes, column("counts").to_numpy(zero_copy_only=False).astype(np.int64)
             refs = _unpacked(batch.column("refs")[i].as_py())
+            flat = flat.astype(np.int32)
             out: tuple[list, list] = ([], [])
             for own in np.split(refs, np.cumsum(counts)[:-1]) if len(counts) else []:
                 out[0].append(_packed(_gathered(flat, at, sizes, own)))
@@ -444,8 +445,10 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _gathered(flat: np.ndarray, at: np.ndarray, sizes: np.ndarray, own: np.ndarray) -> np.ndarray:
     """The ids of words, one after the other."""
     n = sizes[own]
-    total = np.cumsum(n)
-    return flat[np.arange(total[-1] if len(total) else 0) + np.repeat(at[own] - (total - n), n)]
+    total = np.cumsum(n, dtype=np.int64)
+    where = np.repeat(at[own] - (total - n), n)
+    where += np.arange(len(where))
+    return flat[where]
 
 
 def spliced(windows: list[list[int]], sizes: list[int]) -> list[int] | None:
@@ -518,11 +521,17 @@ def _assembler(pieces: tuple[bytes, ...]):
             if more:
                 every = np.concatenate([every, *more])
             refs = _unpacked(own.column("refs")[i].as_py())
-            total = np.concatenate([[0], np.cumsum(to[refs])])
-            some = column("some").to_numpy(zero_copy_only=False)
+            some, every, ends = column("some").to_numpy(zero_copy_only=False), every.astype(np.int32), np.cumsum(counts)
             docs.append(column("docs"))
-            cuts = pa.array(np.concatenate([[0], total[np.cumsum(counts)]]).astype(np.int32))
-            lists.append(pa.ListArray.from_arrays(cuts, pa.array(_gathered(every, start, to, refs).astype(np.int32)), mask=pa.array(~some)))
+            # Some documents at a time, so that few places are gathered at once.
+            first = 0
+            while first < len(counts):
+                stop = max(first + 1, int(np.searchsorted(ends, ends[first] - counts[first] + (1 << 19), side="right")))
+                mine = refs[ends[first] - counts[first] : ends[stop - 1]]
+                total = np.concatenate([[0], np.cumsum(to[mine])])
+                cuts = pa.array(total[np.concatenate([[0], np.cumsum(counts[first:stop])])].astype(np.int32))
+                lists.append(pa.ListArray.from_arrays(cuts, pa.array(_gathered(every, start, to, mine)), mask=pa.array(~some[first:stop])))
+                first = stop
         return pa.table({"doc_id": pa.chunked_array(docs, pa.int64()), "ids": pa.chunked_array(lists, pa.list_(pa.int32()))})
 
     return run
@@ -545,10 +554,10 @@ def encoded(docs: DataFrame, path: str = VOCABULARY, block: int = BLOCK_CHARS) -
     pieces, places = vocabulary(path), _places(docs)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = text.mapInArrow(tidy(_cutter(places, block)), PART).repartition(places, "place")
-    words = parts.groupBy("place").applyInArrow(_distinct, DISTINCT)
+    words = parts.groupBy("place").applyInArrow(tidy_group(_distinct), DISTINCT)
     ids = words.select(merged(pieces)(F.col("words")).alias("ids"), "refs", "blocks", "targets", "counts", "bucket")
     answers = ids.mapInArrow(tidy(_answers), ANSWER)
-    return parts.groupBy("place").cogroup(answers.groupBy("place")).applyInArrow(_assembler(pieces), ENCODED)
+    return parts.groupBy("place").cogroup(answers.groupBy("place")).applyInArrow(tidy_groups(_assembler(pieces)), ENCODED)
 
 
 def decoded(ids: Column, path: str = VOCABULARY) -> Column:
