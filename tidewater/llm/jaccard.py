@@ -7,10 +7,10 @@ a factor of at most t: sets are banded by size and only sets of one band meet.
 
 Within a band the sketch is wide (a place for each of 2^58 values in each segment) and sparse; a non-empty segment is represented by
 the XOR of one random word for each member, so equal segments have equal words.  Two sets whose difference is at most D touch at most
-D of each other's segments.  All sets order their segments alike, rare ones first (by how many documents have the rarest member), and
-the D + 1 first are joined on equality: by the pigeonhole the first untouched segment of a pair is among them on both sides, so no
-pair is missed.  A pair is put down where its first common segment is.  A second, dense sketch of 256 bits discards candidates whose
-Hamming distance already exceeds the allowance, and the rest are verified on their whole sets.
+D of each other's segments.  All sets order their segments alike, telling ones first (by how few documents have each member), and the
+D + 1 first are joined on equality: by the pigeonhole the first untouched segment of a pair is among them on both sides, so no
+pair is missed.  A pair is put down where its first common segment is, unless the sizes forbid it or BITS one-bit minwise hashes of
+both agree so seldom that a pair at the threshold would do so once in ten million; the rest are verified on their whole sets.
 """
 
 from __future__ import annotations
@@ -28,64 +28,85 @@ from tidewater.llm.hashing import U, mix, ngrams, word_hashes
 
 NGRAM = 2
 THRESHOLD = 0.7
-#: Bands grow by so much.  Sets of the bands below EACH members have a segment for each value; in others there are PER segments for each
-#: member of the smallest set, which is enough for more than D + 1 of them to hold something.
-GROWTH = 4
-EACH = 64
-PER = 4
+#: Sets of the bands below EACH members have a segment for each value; in others the smallest set has PER segments for each member, more
+#: below FEW members.  So many hold something in any set of the band that D or fewer would be five standard deviations from the mean.
+EACH = 16
+FEW = 128
+PER = (2.0, 1.0)
 #: Counters of documents by n-gram, which order the segments.
 SLOTS = 1 << 16
 #: Segments in one group of the join on average, and documents that may share one before they are split into tiles.
-BUCKET_KEYS = 2_000_000
+BUCKET_KEYS = 3_000_000
 TILE_DOCS = 200_000
 #: First segments of each set that tell whether a pair has met before.
-FIRST = 4
+FIRST = 2
+#: Minwise hashes of a set of which one bit each is kept.
+BITS = 128
+FACTORS = mix(np.arange(1, BITS + 1).astype(U) * U(0x9E3779B97F4A7C15)) | U(1)
 #: Verification: bytes of sets in one group, pairs of one segment before its documents are split into tiles.
 GROUP_BYTES = 10 << 20
 TILE_PAIRS = 250_000
 
-SIGNATURE = "doc_id long, n int, sid long, sketch array<long>, slots array<int>"
-PACKED = "bucket int, codes binary, own binary, sids binary, spaces binary, firsts binary"
+SIGNATURE = "doc_id long, n int, sid long, slots array<int>"
+PACKED = "bucket int, codes binary, own binary, sids binary, spaces binary, firsts binary, sizes binary, bits binary"
 LOW = U(0xFFFFFFFF)
 
 
-def spaces(n: int, t: float) -> list[tuple[int, int]]:
-    """The bands in which a set of n members meets others, each with the greatest difference from any of them.
+def least(b: int, t: float) -> int:
+    """Members of the smallest set of a band; bands grow by 1/t, so a pair within the size ratio t lies in one band or in two neighbours."""
+    return math.ceil((1 / t) ** b - 1e-9)
+
 
-    Band b has the sets from GROWTH^b members up to those 1/t times as large as the last one below GROWTH^(b + 1)."""
-    b = 0
-    while GROWTH ** (b + 1) <= n:
+def spaces(n: int, t: float) -> list[tuple[int, int]]:
+    """The bands in which a set of n members meets others, its own and that below, each with the greatest difference from any of them."""
+    b = max(0, int(math.log(n) / -math.log(t)) - 1)
+    while least(b + 1, t) <= n:
         b += 1
     share = (1 - t) / (1 + t)
     out = [(b, int(share * (n + n / t) + 1e-9))]
-    below = GROWTH**b - 1
+    below = least(b, t) - 1
     if b and n * t <= below + 1e-9:
         out.append((b - 1, int(share * (n + below) + 1e-9)))
     return out
 
 
 def keys(grams: np.ndarray, t: float, weights: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """For each band of a set: the band, the words of its D + 1 rarest segments, and how many documents have their rarest member."""
+    """For each band of a set: the band, the words of its D + 1 most telling segments, and how many documents have their rarest member."""
     out = []
     often = weights[(grams >> U(48)).astype(np.int64)]
+    common = np.log((often + 1) / (weights.sum() + 1))
     for space, most in spaces(len(grams), t):
-        if GROWTH**space < EACH:
-            words, rare = mix(grams ^ U(0x5851F42D4C957F2D) + U(space)), often
+        low = least(space, t)
+        if low < EACH:
+            words, rare, order = mix(grams ^ U(0x5851F42D4C957F2D) + U(space)), often, common
         else:
-            at = (grams >> U(16)) % U(PER * GROWTH**space)
+            at = (grams >> U(16)) % U(round(PER[low >= FEW] * low))
             order = np.argsort(at, kind="stable")
             at = at[order]
             first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
             words = mix(np.bitwise_xor.reduceat(mix(grams[order] ^ U(0x5851F42D4C957F2D)), first) + mix(at[first] + U(space << 40)))
-            rare = np.minimum.reduceat(often[order], first)
-        some = np.lexsort((words, rare))[: most + 1]
+            rare, order = np.minimum.reduceat(often[order], first), np.add.reduceat(common[order], first)
+        some = np.lexsort((words, order))[: most + 1]
         out.append((space, words[some], rare[some]))
     return out
 
 
-def _sketch(grams: np.ndarray) -> np.ndarray:
-    bits = np.bincount((grams >> U(56)).astype(np.int64), minlength=256) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+def minwise(grams: np.ndarray) -> np.ndarray:
+    """One bit of each of BITS minwise hashes, as bytes."""
+    low = np.full(BITS, ~U(0))
+    for at in range(0, len(grams), 1024):
+        low = np.minimum(low, (grams[at : at + 1024, None] * FACTORS).min(axis=0))
+    return np.packbits((mix(low) >> U(63)).astype(np.uint8))
+
+
+def agreement(t: float) -> int:
+    """Bits of BITS that agree at least, but for one in ten million pairs, where the coefficient is t or more: each does with a chance of (1 + t) / 2."""
+    p, tail = (1 + t) / 2, 0.0
+    for k in range(BITS + 1):
+        tail += math.comb(BITS, k) * p**k * (1 - p) ** (BITS - k)
+        if tail > 1e-7:
+            return k
+    return BITS
 
 
 def set_id(grams: np.ndarray) -> np.ndarray:
@@ -116,15 +137,14 @@ def _grams(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
 def _signatures(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.zeros(SLOTS, np.int64)
-        names = ["doc_id", "n", "sid", "sketch", "slots"]
+        names = ["doc_id", "n", "sid", "slots"]
         for batch in batches:
-            rows, sizes, sids, sketches = [], [], [], []
+            rows, sizes, sids = [], [], []
             with np.errstate(over="ignore"):
                 for row, grams in _grams(batch, n):
                     rows.append(row)
                     sizes.append(len(grams))
                     sids.append(set_id(grams))
-                    sketches.append(_sketch(grams).view(U))
                     # Sorted as they are, their first bits are sorted, too.
                     slot = (grams >> U(48)).astype(np.int64)
                     often[slot[np.flatnonzero(np.diff(slot, prepend=-1))]] += 1
@@ -132,10 +152,10 @@ def _signatures(n: int):
             none[rows] = False
             order = np.argsort(np.concatenate([rows, np.flatnonzero(none)]).astype(np.int64), kind="stable")
             blank = int(none.sum())
-            own = [pa.array(sizes, pa.int32()), pa.array(np.array(sids, U).view(np.int64)), _lists(sketches)]
+            own = [pa.array(sizes, pa.int32()), pa.array(np.array(sids, U).view(np.int64))]
             own = [pa.concat_arrays([x, pa.nulls(blank, x.type)]).take(pa.array(order)) for x in own]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *own, pa.nulls(len(batch), pa.list_(pa.int32()))], names)
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())), pa.array([np.minimum(often, 1 << 30)], pa.list_(pa.int32()))], names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([np.minimum(often, 1 << 30)], pa.list_(pa.int32()))], names)
 
     return run
 
@@ -158,18 +178,18 @@ def _packer(n: int, t: float, weights: np.ndarray, buckets: int, tile: int):
         noise = 2 * int(weights.mean())
         for batch in batches:
             with np.errstate(over="ignore"):
-                sids, where, firsts, words, own, tiles = [], [], [], [], [], []
+                sids, where, firsts, sizes, bits, words, own, tiles = [], [], [], [], [], [], [], []
                 for _, grams in _grams(batch, n):
-                    sid = set_id(grams)
+                    sid, bit = set_id(grams), minwise(grams)
                     for space, key, rare in keys(grams, t, weights):
                         head = np.zeros(FIRST, np.uint32)
                         head[: len(key[:FIRST])] = key[:FIRST] & LOW
                         own.append(np.full(len(key), len(sids), np.int64))
                         words.append(key), tiles.append(np.clip((rare.astype(np.int64) - noise) // tile + 1, 1, 255))
-                        sids.append(sid), where.append(space), firsts.append(head)
+                        sids.append(sid), where.append(space), firsts.append(head), sizes.append(len(grams)), bits.append(bit)
                 if not sids:
                     continue
-                sid, space, first = np.array(sids, U), np.array(where, np.uint8), np.stack(firsts)
+                sid, space, first, size, bit = np.array(sids, U), np.array(where, np.uint8), np.stack(firsts), np.array(sizes, np.int32), np.stack(bits)
                 key, who, many = np.concatenate(words), np.concatenate(own), np.concatenate(tiles)
                 r = (sid[who] % many.astype(U)).astype(np.int64)
                 # A segment that very many share goes to a tile for each other part of its documents.
@@ -182,13 +202,13 @@ def _packer(n: int, t: float, weights: np.ndarray, buckets: int, tile: int):
                 order = np.lexsort((code, bucket))
                 bucket, code, who = bucket[order], code[order], who[order]
                 cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
-                out: tuple[list, ...] = ([], [], [], [], [], [])
+                out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
                 for a, b in zip(cuts, cuts[1:], strict=False):
                     some, which = np.unique(who[a:b], return_inverse=True)
                     which = pa.compress(which.astype(np.uint16 if len(some) < 65536 else np.uint32).tobytes(), "zstd", asbytes=True)
-                    for column, value in zip(out, (int(bucket[a]), _bytes(np.diff(code[a:b], prepend=U(0))), which, sid[some].tobytes(), space[some].tobytes(), first[some].tobytes()), strict=True):
+                    for column, value in zip(out, (int(bucket[a]), _bytes(np.diff(code[a:b], prepend=U(0))), which, sid[some].tobytes(), space[some].tobytes(), first[some].tobytes(), size[some].tobytes(), bit[some].tobytes()), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:])], ["bucket", "codes", "own", "sids", "spaces", "firsts"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:])], ["bucket", "codes", "own", "sids", "spaces", "firsts", "sizes", "bits"])
 
     return run
 
@@ -214,42 +234,53 @@ def _runs(code: np.ndarray, own: np.ndarray, step: int = 1 << 20) -> Iterator[tu
                     yield np.full(len(left), code[a]), own[left], own[right]
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    """Pairs of sets whose first common segment is in this bucket."""
-    codes, own, sids, spaces_, firsts, before = [], [], [], [], [], 0
-    for c, o, s, p, f in zip(*(table.column(x).to_pylist() for x in ("codes", "own", "sids", "spaces", "firsts")), strict=True):
+def _meet(t: float):
+    least_agreement = agreement(t)
+
+    def run(table: pa.Table) -> pa.Table:
+        """Pairs of sets within the size ratio whose first common segment is in this bucket."""
+        codes, own, sids, spaces_, firsts, sizes, bits, before = [], [], [], [], [], [], [], 0
+        for c, o, s, p, f, m, w in zip(*(table.column(x).to_pylist() for x in ("codes", "own", "sids", "spaces", "firsts", "sizes", "bits")), strict=True):
+            with np.errstate(over="ignore"):
+                codes.append(np.cumsum(_values(c), dtype=U))
+            some = np.frombuffer(s, U)
+            kind = np.uint16 if len(some) < 65536 else np.uint32
+            own.append(np.frombuffer(pa.decompress(o, len(codes[-1]) * np.dtype(kind).itemsize, "zstd", asbytes=True), kind).astype(np.int64) + before)
+            sids.append(some), spaces_.append(np.frombuffer(p, np.uint8)), firsts.append(np.frombuffer(f, np.uint32).reshape(-1, FIRST)), sizes.append(np.frombuffer(m, np.int32)), bits.append(np.frombuffer(w, U).reshape(-1, BITS // 64))
+            before += len(some)
+        code, own, sid, space, first, size, bit = (np.concatenate(x) for x in (codes, own, sids, spaces_, firsts, sizes, bits))
+        # Equal sets are one.
         with np.errstate(over="ignore"):
-            codes.append(np.cumsum(_values(c), dtype=U))
-        some = np.frombuffer(s, U)
-        kind = np.uint16 if len(some) < 65536 else np.uint32
-        own.append(np.frombuffer(pa.decompress(o, len(codes[-1]) * np.dtype(kind).itemsize, "zstd", asbytes=True), kind).astype(np.int64) + before)
-        sids.append(some), spaces_.append(np.frombuffer(p, np.uint8)), firsts.append(np.frombuffer(f, np.uint32).reshape(-1, FIRST))
-        before += len(some)
-    code, own, sid, space, first = (np.concatenate(x) for x in (codes, own, sids, spaces_, firsts))
-    # Equal sets are one.
-    with np.errstate(over="ignore"):
-        _, at, which = np.unique(sid + space.astype(U) * U(0xD1342543DE82EF95), return_index=True, return_inverse=True)
-    own, sid, first = which[own], sid[at], first[at]
-    order = np.lexsort((own, code))
-    code, own = code[order], own[order]
-    keep = np.ones(len(code), np.bool_)
-    keep[1:] = (code[1:] != code[:-1]) | (own[1:] != own[:-1])
-    code, own = code[keep], own[keep]
-    found: list[np.ndarray] = []
-    for k, a, b in _runs(code, own):
-        tiles = (k >> U(16)) & U(255)
-        fit = (tiles == U(1)) | ((k >> U(8)) & U(255) == k & U(255)) | (sid[a] % tiles != sid[b] % tiles)
-        low = ((k >> U(24)) & LOW).astype(np.uint32)
-        x, y = first[a], first[b]
-        for i in range(FIRST):
-            # A segment of both that comes before this one.
-            ahead_x = ~(x[:, : i + 1] == low[:, None]).any(axis=1) & (x[:, i] != 0)
-            for j in range(FIRST):
-                fit &= ~(ahead_x & (x[:, i] == y[:, j]) & ~(y[:, : j + 1] == low[:, None]).any(axis=1))
-        if fit.any():
-            found.append(np.stack([np.minimum(sid[a[fit]].view(np.int64), sid[b[fit]].view(np.int64)), np.maximum(sid[a[fit]].view(np.int64), sid[b[fit]].view(np.int64)), k[fit].view(np.int64)]))
-    a, b, k = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
-    return pa.table({"sid_a": pa.array(a), "sid_b": pa.array(b), "word": pa.array(k)})
+            _, at, which = np.unique(sid + space.astype(U) * U(0xD1342543DE82EF95), return_index=True, return_inverse=True)
+        own, sid, first, size, bit = which[own], sid[at], first[at], size[at], bit[at]
+        order = np.lexsort((own, code))
+        code, own = code[order], own[order]
+        keep = np.ones(len(code), np.bool_)
+        keep[1:] = (code[1:] != code[:-1]) | (own[1:] != own[:-1])
+        code, own = code[keep], own[keep]
+        found: list[np.ndarray] = []
+        for k, a, b in _runs(code, own):
+            fit = (size[a] >= t * size[b] - 1e-9) & (size[b] >= t * size[a] - 1e-9)
+            k, a, b = k[fit], a[fit], b[fit]
+            fit = np.bitwise_count(bit[a] ^ bit[b]).sum(axis=1) <= BITS - least_agreement
+            k, a, b = k[fit], a[fit], b[fit]
+            tiles = (k >> U(16)) & U(255)
+            fit = (tiles == U(1)) | ((k >> U(8)) & U(255) == k & U(255)) | (sid[a] % tiles != sid[b] % tiles)
+            low = ((k >> U(24)) & LOW).astype(np.uint32)
+            x, y = first[a], first[b]
+            for i in range(FIRST):
+                # A segment of both that comes before this one.
+                ahead_x = ~(x[:, : i + 1] == low[:, None]).any(axis=1) & (x[:, i] != 0)
+                for j in range(FIRST):
+                    fit &= ~(ahead_x & (x[:, i] == y[:, j]) & ~(y[:, : j + 1] == low[:, None]).any(axis=1))
+            k, a, b = k[fit], a[fit], b[fit]
+            swap = sid[a].view(np.int64) > sid[b].view(np.int64)
+            a, b = np.where(swap, b, a), np.where(swap, a, b)
+            found.append(np.stack([sid[a].view(np.int64), sid[b].view(np.int64), size[a], size[b], k.view(np.int64)]))
+        a, b, n, m, k = np.concatenate(found, axis=1) if found else np.zeros((5, 0), np.int64)
+        return pa.table({"sid_a": pa.array(a), "sid_b": pa.array(b), "n_a": pa.array(n.astype(np.int32)), "n_b": pa.array(m.astype(np.int32)), "word": pa.array(k)})
+
+    return run
 
 
 def _sets(n: int):
@@ -293,22 +324,10 @@ def set_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD,
     for slot, often in signs.where("slots is not null").select(F.posexplode("slots")).where("col > 0").groupBy("pos").agg(F.sum("col")).collect():
         weights[slot] = often
     versions = signs.where("doc_id is not null").select("doc_id", "sid", "n").distinct()
-    # What follows from the set alone is the same in all of its documents.
-    heads = signs.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), *(F.min(F.col("sketch")[i]).alias(f"s{i}") for i in range(4)))
-
-    places = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total * 0.6 / bucket))
-    packed = text.where("text is not null").mapInArrow(tidy(_packer(ngram, threshold, weights, places, tile)), PACKED)
-    met = packed.repartition(places, "bucket").groupBy("bucket").applyInArrow(tidy_group(_meet), "sid_a long, sid_b long, word long")
-    found = checkpointed(met.groupBy("sid_a", "sid_b").agg(F.min("word").alias("word")))
-
-    # Candidates within the size ratio whose dense sketches are near enough.
-    needed = checkpointed(found.select(F.explode(F.array("sid_a", "sid_b")).alias("sid")).distinct())
-    dense = checkpointed(heads.join(sized(needed, 16), "sid", "left_semi"))
-    near = found
-    for end in "ab":
-        near = near.join(dense.drop("doc_id").withColumnsRenamed({c: f"{c}_{end}" for c in ("sid", "n", "s0", "s1", "s2", "s3")}), f"sid_{end}")
-    distance = sum((F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(4)), F.lit(0))
-    near = near.where((F.col("n_a") >= threshold * F.col("n_b") - 1e-9) & (F.col("n_b") >= threshold * F.col("n_a") - 1e-9) & (distance <= F.lit((1 - threshold) / (1 + threshold) + 1e-9) * (F.col("n_a") + F.col("n_b"))))
+    buckets = max(1, math.ceil(total * 0.8 / bucket))
+    packed = text.where("text is not null").mapInArrow(tidy(_packer(ngram, threshold, weights, buckets, tile)), PACKED)
+    met = packed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(tidy_group(_meet(threshold)), "sid_a long, sid_b long, n_a int, n_b int, word long")
+    near = checkpointed(met.groupBy("sid_a", "sid_b", "n_a", "n_b").agg(F.min("word").alias("word")))
 
     # Pairs go where one segment sends them, in tiles if there are very many; sets follow.
     tiles = near.groupBy("word").agg(F.ceil(F.sqrt(F.count(F.lit(1)) / F.lit(float(TILE_PAIRS)))).cast("int").alias("tiles"))
@@ -320,9 +339,8 @@ def set_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD,
     groups = max(1, math.ceil(size / GROUP_BYTES), spark.sparkContext.defaultParallelism)
     cut = F.pmod(F.col("place"), F.lit(groups)).cast("int").alias("cut")
     # The text of one document stands for each set.
-    wanted = checkpointed(dense.select("doc_id", "sid").join(sized(routes.select("sid").distinct(), 16), "sid", "left_semi"))
-    routes = routes.select("sid", cut).distinct()
-    one = wanted.select("doc_id").distinct()
+    one = versions.join(sized(routes.select("sid").distinct(), 16), "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    one, routes = checkpointed(one), routes.select("sid", cut).distinct()
     sets = text.join(sized(one, 16), "doc_id", "left_semi").mapInArrow(tidy(_sets(ngram)), "sid long, grams array<long>")
     routed = sets.join(sized(routes, 24), "sid")
     checked = near.select("sid_a", "sid_b", cut).groupBy("cut").cogroup(routed.groupBy("cut")).applyInArrow(tidy_groups(_verify(threshold)), "sid_a long, sid_b long, jaccard double, shared long")
@@ -351,8 +369,8 @@ def linked(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD) ->
     letters and digits and of characters beyond ASCII, in lower case; a text of fewer words than n is one n-gram.  A null text, or one
     without words, has no n-grams: it is a class of its own with no links.  Texts may have any length.  Rows alike in doc_id and set are
     one document; rows that share a doc_id but differ in their sets are versions, each of which gives a row and counts by itself.  Rows
-    with a null doc_id are left out, other columns ignored.  No pair is missed; sets are known by 64 bits of hashes, and each pair of
-    different sets is verified on the whole sets.
+    with a null doc_id are left out, other columns ignored.  No pair is missed, unless a set's members fall into fewer segments than chance
+    allows in a million sets; XX
     """
     versions, pairs = set_pairs(docs, ngram, threshold)
     sets = checkpointed(versions.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
