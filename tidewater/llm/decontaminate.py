@@ -8,6 +8,7 @@ item to any substring.  The matching is exact: no occurrence within the budget i
 
 from __future__ import annotations
 
+import itertools
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -20,11 +21,11 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import tidy, without_ids
 from tidewater.llm.hashing import WORD_BYTE, buffers
 
-#: Edits allowed for each byte of a normalised item; items shorter than LEAST bytes say too little to be leaks.
+#: Edits allowed for each byte of a normalised item; one whose budget is 0 must stand there as whole words.
 RATE = 0.06
-LEAST = 32
-#: Bytes of items that one automaton holds; more items make more passes over the text.
+#: Bytes of items that one automaton holds.  Each pass over the texts runs PASS automata one after the other over every batch.
 AUTOMATON_BYTES = 2 << 20
+PASS = 8
 
 LEAKS = "doc_id long, item_id long, edits int"
 
@@ -96,59 +97,75 @@ class Pattern:
         return best
 
 
-def _matcher(items: list[tuple[int, str]], rate: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = ahocorasick.Automaton()
+def _whole(item: str, text: str, at: int) -> bool:
+    """Whether the item at this place of a normalised text begins and ends where words do."""
+    end = at + len(item)
+    return (at == 0 or text[at - 1] in " \n") and (end == len(text) or text[end] in " \n")
+
+
+def _matcher(groups: list[list[tuple[int, str]]], rate: float):
+    def automaton(items: list[tuple[int, str]]) -> tuple[list[tuple[int, Pattern, int]], ahocorasick.Automaton]:
         found: dict[str, list[tuple[int, int]]] = defaultdict(list)
         known = [(i, Pattern(text), budget(len(text), rate)) for i, text in items]
         for which, (_, pattern, k) in enumerate(known):
             for start, piece in pieces(pattern.item, k):
                 found[piece].append((which, start + len(piece) - 1))
+        machine = ahocorasick.Automaton()
         for piece, uses in found.items():
-            automaton.add_word(piece, uses)
-        automaton.make_automaton()
+            machine.add_word(piece, uses)
+        machine.make_automaton()
+        return known, machine
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machines = [automaton(items) for items in groups]
         # Normalising takes many times a text's bytes, so it takes some rows at a time.
         for batch in (b.slice(start, 256) for b in batches for start in range(0, len(b), 256)):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             raw, at = normalise(*buffers(batch.column("text")))
             text = raw.tobytes().decode("latin-1")
-            hits = [(end, end - last, which) for end, uses in automaton.iter(text) for which, last in uses] if found else []
-            # A piece lies in one row; hits of one item whose windows meet are one window.
-            places: dict[tuple[int, int], list[int]] = defaultdict(list)
-            if hits:
-                rows = np.searchsorted(at, np.array([h[0] for h in hits]), side="right") - 1
-                for row, (_, start, which) in zip(rows.tolist(), hits, strict=True):
-                    places[(row, which)].append(start)
             docs, which_items, edits = [], [], []
-            for (row, w), starts in places.items():
-                item, pattern, k = known[w]
-                best = k + 1
-                low, high = int(at[row]), int(at[row + 1])
-                starts.sort()
-                i = 0
-                while i < len(starts) and best:
-                    a = starts[i] - k
-                    b = starts[i] + pattern.m + k
-                    while i + 1 < len(starts) and starts[i + 1] - k <= b:
-                        i += 1
+            for known, machine in machines:
+                # A piece lies in one row; hits of one item whose windows meet are one window.
+                places: dict[tuple[int, int], list[int]] = defaultdict(list)
+                hits = [(end, end - last, which) for end, uses in machine.iter(text) for which, last in uses]
+                if hits:
+                    rows = np.searchsorted(at, np.array([h[0] for h in hits]), side="right") - 1
+                    for row, (_, start, which) in zip(rows.tolist(), hits, strict=True):
+                        places[(row, which)].append(start)
+                for (row, w), starts in places.items():
+                    item, pattern, k = known[w]
+                    if not k:
+                        if any(_whole(pattern.item, text, start) for start in starts):
+                            docs.append(row), which_items.append(item), edits.append(0)
+                        continue
+                    best = k + 1
+                    low, high = int(at[row]), int(at[row + 1])
+                    starts.sort()
+                    i = 0
+                    while i < len(starts) and best:
+                        a = starts[i] - k
                         b = starts[i] + pattern.m + k
-                    window = text[max(low, a) : min(high, max(b, 0))]
-                    if len(window) >= pattern.m - k:
-                        best = min(best, pattern.distance(window))
-                    i += 1
-                if best <= k:
-                    docs.append(row), which_items.append(item), edits.append(best)
+                        while i + 1 < len(starts) and starts[i + 1] - k <= b:
+                            i += 1
+                            b = starts[i] + pattern.m + k
+                        window = text[max(low, a) : min(high, max(b, 0))]
+                        if len(window) >= pattern.m - k:
+                            best = min(best, pattern.distance(window))
+                        i += 1
+                    if best <= k:
+                        docs.append(row), which_items.append(item), edits.append(best)
             yield pa.RecordBatch.from_arrays([pa.array(ids[docs] if docs else ids[:0]), pa.array(which_items, pa.int64()), pa.array(edits, pa.int32())], ["doc_id", "item_id", "edits"])
 
     return run
 
 
-def item_groups(benchmark: DataFrame, limit: int = AUTOMATON_BYTES, least: int = LEAST) -> Iterator[list[tuple[int, str]]]:
-    """The normalised items, in groups of at most `limit` bytes (an item that is longer makes a group of its own)."""
+def item_groups(benchmark: DataFrame, limit: int = AUTOMATON_BYTES) -> Iterator[list[tuple[int, str]]]:
+    """The normalised items, in groups of at most `limit` bytes (an item that is longer makes a group of its own).  One without any letter
+    or digit has nothing to match."""
     group, size = [], 0
     for item, text in benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null").orderBy("item_id", "text").toLocalIterator():
         text = normal(text)
-        if len(text) < least:
+        if not text:
             continue
         if group and size + len(text) > limit:
             yield group
@@ -159,17 +176,23 @@ def item_groups(benchmark: DataFrame, limit: int = AUTOMATON_BYTES, least: int =
         yield group
 
 
+def _some(groups: Iterator[list], n: int) -> Iterator[list[list]]:
+    while held := list(itertools.islice(groups, n)):
+        yield held
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """doc_id, item_id and edits: the items that occur in each document within the error budget, with the least edit distance found.
 
-    Texts are compared in lower case with runs of anything but letters and digits as one space, by bytes of UTF-8.  Items with fewer
-    than LEAST bytes, null texts and null ids match nothing; rows that share a doc_id or an item_id give the least distance of any.
-    Other columns are ignored.  The automaton is sent to the tasks, its size bounded: more items take more passes.
+    Texts are compared in lower case with runs of anything but letters and digits as one space, by bytes of UTF-8.  An item too short
+    for any edit must occur as whole words.  Items without a letter or digit, null texts and null ids match nothing; texts may have any
+    length; rows that share a doc_id or an item_id give the least distance of any.  Other columns are ignored.  The automata are sent to
+    the tasks, PASS of bounded size at a time: more items take more passes.
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).where("doc_id is not null and text is not null")
     out = None
-    for group in item_groups(benchmark):
-        found = text.mapInArrow(tidy(_matcher(group, rate)), LEAKS)
+    for groups in _some(item_groups(benchmark), PASS):
+        found = text.mapInArrow(tidy(_matcher(groups, rate)), LEAKS)
         out = found if out is None else out.unionByName(found)
     if out is None:
         return text.select("doc_id", F.lit(0).cast("long").alias("item_id"), F.lit(0).alias("edits")).where(F.lit(False))
@@ -177,9 +200,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFram
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
-    """`docs` less the documents in which an item occurs; columns as they came, rows with a null text or doc_id stay."""
+    """`docs` less the documents in which an item occurs; columns as they came, rows with a null text or doc_id stay.  All rows of a doc_id
+    go if an item occurs in one of them."""
     return without_ids(docs, leaks(docs, benchmark, rate))
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`leaks` of all of `benchmark` in all documents."""
     return leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
