@@ -1,6 +1,7 @@
 """HTML extraction by consensus paths of hosts.
 
-Every page is read once into a tree of containers, each with a score: the text of the paragraphs inside it, less that of links.  A
+Every page is read once into a tree of containers, each with a score: the text of the paragraphs inside it, less that of links, long
+paragraphs counting for more.  A
 container's path is its chain of tags with their classes, generalised (digits become #, classes are sorted, ids dropped).  The pages of
 a host vote on paths in Spark, each with the share of its score that a path has; the path with most votes wins.  Every page is then
 read again and the containers at its host's winning path give the text.
@@ -8,21 +9,23 @@ read again and the containers at its host's winning path give the text.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import checkpointed, sized
+from tidewater.llm.common import checkpointed, sized, tidy
 
-#: Characters of text from which a paragraph counts, the part of a paragraph's score for the container above its own, and the bytes
-#: that a winning path takes when it is broadcast.
-LEAST = 25
+#: Characters at which a paragraph counts half of its length (shorter ones count less, longer ones more), the part of a paragraph's score
+#: for the container above its own, and steps that are written out in a path; of deeper ones it has a digest.
+HALF = 25
 ABOVE = 0.5
-PATH_BYTES = 512
+DEEP = 64
 
 RESULT = "page_id long, host string, path string, consensus boolean, text string"
 
@@ -44,13 +47,28 @@ def host_of(url: str | None) -> str | None:
 
 
 class Node:
-    __slots__ = ("above", "dropped", "kids", "linked", "path", "score", "tag", "text")
+    __slots__ = ("above", "depth", "dropped", "key", "kids", "linked", "named", "score", "step", "tag", "top", "up")
 
-    def __init__(self, tag: str, path: str, above: Node | None, dropped: bool, linked: bool) -> None:
-        self.tag, self.path, self.above, self.dropped, self.linked = tag, path, above, dropped, linked
+    def __init__(self, tag: str, step: str, above: Node | None, dropped: bool, linked: bool) -> None:
+        self.tag, self.step, self.above, self.dropped, self.linked = tag, step, above, dropped, linked
         self.kids: list[Node | str] = []
         self.score = 0.0
-        self.text = 0
+        self.named: str | None = None
+        self.depth = above.depth + 1 if above else 0
+        #: The nearest container above, and the ancestor (or self) whose path is written out.
+        self.up: Node | None = (above if above.tag in _CONTAINERS else above.up) if above else None
+        self.top: Node = above.top if above and self.depth > DEEP else self
+        self.key = hashlib.blake2b(above.key + step.encode(), digest_size=8).digest() if above and self.depth > DEEP else b""
+
+    @property
+    def path(self) -> str:
+        """The chain of steps; it is put together only where it is asked for, since it is long where a page is deep."""
+        if self.named is None:
+            if self.depth > DEEP:
+                self.named = f"{self.top.path}/~{self.depth}.{self.key.hex()}"
+            else:
+                self.named = f"{self.above.path}/{self.step}" if self.above else ""
+        return self.named
 
 
 def _step(tag: str, attributes: str) -> str:
@@ -63,6 +81,14 @@ def tree(page: str) -> Node:
     """The elements of a page.  Elements that miss their end tags are closed where HTML implies it, or with what they are in."""
     root = node = Node("", "", None, False, False)
     at, n = 0, len(page)
+    open_tags: Counter[str] = Counter()
+
+    def leave(last: Node) -> None:
+        """Closes all up to `last`."""
+        nonlocal node
+        while node is not last.above:
+            open_tags[node.tag] -= 1
+            node = node.above
 
     def text(raw: str) -> None:
         if raw and not raw.isspace():
@@ -80,32 +106,33 @@ def tree(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            x = node
-            while x is not root and x.tag != tag:
-                x = x.above
-            if x is not root:
-                node = x.above
+            if open_tags[tag]:
+                x = node
+                while x.tag != tag:
+                    x = x.above
+                leave(x)
             continue
         if tag in _RAW:
             end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
             at = end.end() if end else n
             continue
-        if tag in _CLOSES_P:
+        if tag in _CLOSES_P and open_tags["p"]:
             x = node
             while x is not root and x.tag not in _CONTAINERS and x.tag != "p":
                 x = x.above
             if x.tag == "p":
-                node = x.above
+                leave(x)
         elif tag in ("li", "dt", "dd", "tr", "td", "th") and node.tag == tag:
-            node = node.above
+            leave(node)
         if tag in _VOID:
             if tag in ("br", "hr"):
                 node.kids.append("\n" if tag == "hr" else " ")
             continue
-        new = Node(tag, f"{node.path}/{_step(tag, m[3])}", node, node.dropped or tag in _DROPPED, node.linked or tag == "a")
+        new = Node(tag, _step(tag, m[3]), node, node.dropped or tag in _DROPPED, node.linked or tag == "a")
         node.kids.append(new)
         if not m[3].endswith("/"):
             node = new
+            open_tags[tag] += 1
     return root
 
 
@@ -143,13 +170,11 @@ def scored(root: Node) -> list[Node]:
                         flat.append(kid)
             stack += [(k, own) for k in reversed(inner)]
             target = holder if node.tag in ("p", "pre", "td", "blockquote", "li", "dd") and holder is not None else own
-            if target is not None and plain + linked >= LEAST and plain > linked:
-                target.score += plain - linked
-                above = target.above
-                while above is not None and above.tag not in _CONTAINERS:
-                    above = above.above
-                if above is not None:
-                    above.score += ABOVE * (plain - linked)
+            if target is not None and plain > linked:
+                gain = (plain - linked) * (plain - linked) / (plain - linked + HALF)
+                target.score += gain
+                if target.up is not None:
+                    target.up.score += ABOVE * gain
         else:
             stack += [(k, own) for k in reversed(node.kids) if isinstance(k, Node)]
     return [x for x in out if x.score > 0]
@@ -166,6 +191,7 @@ def body(nodes: list[Node]) -> str:
             lines.append(said)
         line.clear()
 
+    chosen = set(nodes)
     stack: list[Node | str | None] = list(reversed(nodes))
     while stack:
         x = stack.pop()
@@ -173,7 +199,7 @@ def body(nodes: list[Node]) -> str:
             close()
         elif isinstance(x, str):
             line.append(x)
-        elif not (x.dropped and x not in nodes):
+        elif not (x.dropped and x not in chosen):
             block = x.tag in _BLOCKS or x.tag == ""
             if block:
                 close()
@@ -197,7 +223,7 @@ def extract(page: str, path: str | None) -> tuple[str | None, bool, str]:
             x = stack.pop()
             if x.path == path:
                 found.append(x)
-            elif path.startswith(x.path):
+            elif x.depth > DEEP or path.startswith(x.path):
                 stack += [k for k in reversed(x.kids) if isinstance(k, Node)]
     text = body(found) if found else ""
     if text:
@@ -233,10 +259,10 @@ def _hosted(pages: DataFrame) -> DataFrame:
 
 
 def winners(pages: DataFrame) -> DataFrame:
-    """host and path: the path with most votes of each host; of equals the longer one, then the first in order."""
-    votes = _hosted(pages).where("host is not null and html is not null").select("host", "html").mapInArrow(_voter, "host string, path string, share long")
+    """host and path: the path with most votes of each host; of equals the longer one, then the one of the greatest hash."""
+    votes = _hosted(pages).where("host is not null and html is not null").select("host", "html").mapInArrow(tidy(_voter), "host string, path string, share long")
     counted = votes.groupBy("host", "path").agg(F.sum("share").alias("votes"))
-    order = F.struct(F.col("votes"), F.length("path").alias("deep"), (-F.xxhash64("path").cast("decimal(38,0)")).alias("tie"))
+    order = F.struct(F.col("votes"), F.length("path").alias("deep"), F.xxhash64("path").alias("tie"))
     return counted.groupBy("host").agg(F.max_by("path", order).alias("path"))
 
 
@@ -246,12 +272,14 @@ def extracted(pages: DataFrame) -> DataFrame:
     consensus says that the text comes from the host's winning path.  A page where that path is missing or has no text, or whose url is
     null or has no host, uses the best container of its own; one without any scored container gives the text of the whole page with a
     null path.  A null html has a null text, an empty one an empty text.  Rows that repeat, and null ids, give a row each and vote each.
-    Other columns are ignored.
+    Pages may have any length and depth.  Other columns are ignored.
     """
-    won = checkpointed(winners(pages))
+    won = checkpointed(winners(pages).withColumnRenamed("host", "_host"))
+    longest = won.agg(F.max(F.octet_length("_host") + F.octet_length("path"))).first()[0] or 0
     rows = _hosted(pages)
-    return rows.join(sized(won.withColumnRenamed("host", "_host"), PATH_BYTES), F.col("host") == F.col("_host"), "left").select("page_id", "host", "html", "path").mapInArrow(_extractor, RESULT)
+    return rows.join(sized(won, longest + 64), F.col("host") == F.col("_host"), "left").select("page_id", "host", "html", "path").mapInArrow(tidy(_extractor), RESULT)
 
 
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`extracted` for all pages."""
     return extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
