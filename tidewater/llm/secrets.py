@@ -113,8 +113,8 @@ RULES = (
     Rule("npm_token", ("npm_",), _p(_W + r"npm_[A-Za-z0-9]{36}" + _E), crc62, True),
     Rule("aws_access_key", ("akia", "asia"), _p(_W + r"(?:AKIA|ASIA)[A-Z2-7]{16}" + _E), random_enough),
     Rule("google_api_key", ("aiza",), _p(_W + r"AIza[0-9A-Za-z_-]{35}(?![0-9A-Za-z_-])"), random_enough),
-    Rule("slack_token", ("xoxb-", "xoxa-", "xoxp-", "xoxr-", "xoxs-"), _p(_W + r"xox[baprs]-[0-9A-Za-z-]{10,72}"), random_enough),
-    Rule("stripe_key", ("sk_live_", "rk_live_"), _p(_W + r"[sr]k_live_[0-9A-Za-z]{16,99}" + _E), random_enough),
+    Rule("slack_token", ("xoxb-", "xoxa-", "xoxp-", "xoxr-", "xoxs-"), _p(_W + r"xox[baprs]-[0-9A-Za-z-]{10,}"), random_enough),
+    Rule("stripe_key", ("sk_live_", "rk_live_"), _p(_W + r"[sr]k_live_[0-9A-Za-z]{16,}" + _E), random_enough),
     Rule("private_key", ("-----begin",), _p(r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----")),
     Rule("web_token", ("eyj",), _p(_W + r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), header, True),
     Rule("bank_account", ("iban",), _p(r"IBAN\W{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)" + _E, re.I), iban, True),
@@ -123,7 +123,7 @@ RULES = (
     *_bare_cards(),
     Rule(
         "assigned_secret", ("token", "secret", "passwd", "password", "api_key", "apikey", "api-key", "access_key", "auth_key"),
-        _p(r"""(?:token|secret|passwd|password|api[_-]?key|access_key|auth_key)["']?\s{0,4}[:=]\s{0,4}["']([A-Za-z0-9+/_=.-]{16,256})["']""", re.I), random_enough,
+        _p(r"""(?:token|secret|passwd|password|api[_-]?key|access_key|auth_key)["']?\s{0,4}[:=]\s{0,4}["']([A-Za-z0-9+/_=.-]{16,})["']""", re.I), random_enough,
     ),
 )
 
@@ -172,7 +172,8 @@ def secrets(docs: DataFrame) -> DataFrame:
     """doc_id, rule, start and length (in bytes of UTF-8), checked and digest of every secret in every row of `docs`.
 
     checked says that the secret passed a checksum of its own; one that fails its checksum is no secret.  The secret itself is not
-    shown, only the beginning of its SHA-256.  A null or empty text has none.  Rows that repeat, and null ids, are scanned each; other
+    shown, only the beginning of its SHA-256.  A null or empty text has none; texts and secrets may have any length.  Where rules find the
+    same bytes the first rule counts.  Rows that repeat, and null ids, are scanned each; other
     columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("raw")).where("raw is not null")
@@ -180,4 +181,5 @@ def secrets(docs: DataFrame) -> DataFrame:
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`secrets` of all documents."""
     return secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
