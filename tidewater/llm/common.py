@@ -86,14 +86,16 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def sized(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """`small`, marked for broadcast if its rows, counted, are within the limit; otherwise marked as the build side of a shuffled hash join."""
-    return F.broadcast(small) if small.count() * row_bytes <= limit else small.hint("shuffle_hash")
+    """`small`, marked for broadcast if its rows, counted, of at most `row_bytes` each are within the limit; otherwise as it is, for Spark to
+    sort and merge, which spills where it must."""
+    return F.broadcast(small) if small.count() * row_bytes <= limit else small
 
 
 def without_ids(docs: DataFrame, removed: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """`docs` less the rows whose doc_id is in `removed`; rows with a null doc_id stay."""
-    gone = checkpointed(removed.select(F.col("doc_id").alias("_gone")).where("_gone is not null").distinct())
-    return docs.join(sized(gone, 16, limit), docs["doc_id"] == gone["_gone"], "left_anti")
+    name = fresh(docs, "gone")
+    gone = checkpointed(removed.select(F.col("doc_id").alias(name)).where(F.col(name).isNotNull()).distinct())
+    return docs.join(sized(gone, 16, limit), docs["doc_id"] == gone[name], "left_anti")
 
 
 def fresh(df: DataFrame, name: str) -> str:

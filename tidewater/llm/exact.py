@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import checkpointed, sized, without_ids
+from tidewater.llm.common import checkpointed, fresh, sized, without_ids
 from tidewater.llm.hashing import U, mix
 
 #: Digests in one shard, on average, and rows that are looked up in one group before a shard's index is copied to several.
@@ -152,8 +152,8 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
 
 
 def repeats_removed(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
-    """`docs` less the repeats of `exact_dedup`, columns as they came.  Of rows alike in doc_id and text one stays (a null text
-    is like no other); rows of a doc_id that has several texts, or of a null doc_id, are judged each by its text."""
+    """`docs` less the repeats of `exact_dedup`, columns as they came, whatever their names.  Of rows alike in doc_id and text one stays
+    (a null text is like no other); rows of a doc_id that has several texts, or of a null doc_id, are judged each by its text."""
     named = docs.where("doc_id is not null")
     verdicts = checkpointed(exact_dedup(named, history))
     gone = verdicts.where("repeat").select("doc_id")
@@ -162,19 +162,20 @@ def repeats_removed(docs: DataFrame, history: DataFrame | None = None) -> DataFr
     if unclear.isEmpty() and nameless.isEmpty():
         return without_ids(docs, gone)
     # The rare rows that a doc_id does not tell apart are compared by digest.
-    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
-    odd = docs.join(sized(unclear, 16).withColumnRenamed("doc_id", "_odd"), F.col("_odd") == docs["doc_id"], "left_semi").unionByName(nameless)
-    one = odd.withColumn("_digest", digest).withColumn("_row", F.row_number().over(Window.partitionBy("doc_id", "_digest").orderBy(F.lit(1))))
-    one = one.where("_row = 1 or _digest is null").drop("_row")
-    pool = _digested(named).withColumn("_late", F.lit(int(history is not None)))
+    odd_id, digest, row, other, late, winner = (fresh(docs, x) for x in ("odd", "digest", "row", "other", "late", "winner"))
+    odd = docs.join(sized(unclear, 16).withColumnRenamed("doc_id", odd_id), F.col(odd_id) == docs["doc_id"], "left_semi").unionByName(nameless)
+    one = odd.withColumn(digest, F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    one = one.withColumn(row, F.row_number().over(Window.partitionBy("doc_id", digest).orderBy(F.lit(1)))).where((F.col(row) == 1) | F.col(digest).isNull()).drop(row)
+    pool = _digested(named).withColumn(late, F.lit(int(history is not None)))
     if history is not None:
-        pool = pool.unionByName(_digested(history).withColumn("_late", F.lit(0)))
-    keep = pool.where("digest is not null and doc_id is not null").groupBy(F.col("digest").alias("_d")).agg(F.min(F.struct("_late", "doc_id"))["doc_id"].alias("_winner"))
-    one = one.join(keep, F.col("_digest") == F.col("_d"), "left").where("_winner is null or _winner <=> doc_id").drop("_digest", "_d", "_winner")
-    return without_ids(without_ids(docs.where("doc_id is not null"), gone), unclear).unionByName(one)
+        pool = pool.unionByName(_digested(history).withColumn(late, F.lit(0)))
+    keep = pool.where("digest is not null and doc_id is not null").groupBy(F.col("digest").alias(other)).agg(F.min(F.struct(late, "doc_id"))["doc_id"].alias(winner))
+    one = one.join(keep, F.col(digest) == F.col(other), "left").where(F.col(winner).isNull() | F.col(winner).eqNullSafe(F.col("doc_id"))).drop(digest, other, winner)
+    return without_ids(without_ids(named, gone), unclear).unionByName(one)
 
 
 def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`exact_dedup` of all documents, which are their own history."""
     return exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
