@@ -58,7 +58,10 @@ def _numbers(op):
     def run(a, b):
         if not (isinstance(a, int) and isinstance(b, int)):
             raise TemplateError("arithmetic needs numbers")
-        return op(a, b)
+        try:
+            return op(a, b)
+        except ZeroDivisionError:
+            raise TemplateError("division by zero") from None
 
     return run
 
@@ -342,7 +345,15 @@ def _closure(node: tuple) -> Callable[[dict], object]:
         return lambda env: op(a(env), b(env))
     if kind == "filter":
         apply, args = _FILTERS[node[1]], [_closure(x) for x in node[2:]]
-        return lambda env: apply(*[x(env) for x in args])
+
+        def filtered(env):
+            values = [x(env) for x in args]
+            try:
+                return apply(*values)
+            except (TypeError, KeyError):
+                raise TemplateError(f"{node[1]} can't be applied to this") from None
+
+        return filtered
     if kind == "not":
         a = _closure(node[1])
         return lambda env: not a(env)
@@ -441,9 +452,12 @@ def _renderer(template: str):
         for batch in batches:
             texts, spans = [], []
             for messages in batch.column("messages").to_pylist():
-                text, marks = render(messages=messages)
+                try:
+                    text, marks = render(messages=messages)
+                except TemplateError:
+                    text, marks = None, None
                 texts.append(text)
-                spans.append([{"start": a, "end": b} for a, b in marks])
+                spans.append(marks if marks is None else [{"start": a, "end": b} for a, b in marks])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("conv_id"), pa.array(texts, pa.string()), batch.column("n_messages"), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["conv_id", "text", "n_messages", "spans"]
             )
@@ -456,7 +470,8 @@ def formatted(conversations: DataFrame, template: str = TEMPLATE) -> DataFrame:
 
     Messages are ordered by turn, then role, then text, nulls first, so ties have an order; rows that repeat are messages of their own.
     A null role or text is none, which renders as nothing.  Rows of a null conv_id belong to no conversation and are left out.  Other
-    columns are ignored.  A template that can't be read raises TemplateError on the driver.
+    columns are ignored.  Texts may have any length.  A template that can't be read raises TemplateError on the driver; a conversation in
+    which it asks for what can't be done (the length of a number) has a null text and null spans.
     """
     compiled(template)
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.struct(F.col("turn").cast("long").alias("turn"), "role", "text").alias("m")).where("conv_id is not null")
@@ -465,6 +480,7 @@ def formatted(conversations: DataFrame, template: str = TEMPLATE) -> DataFrame:
 
 
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`formatted` for all conversations, the spans as text."""
     out = formatted(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     spans = F.array_join(F.transform("spans", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string"))), " ")
     return out.select("conv_id", "text", "n_messages", spans.alias("spans"))
