@@ -1,10 +1,9 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-A segment is a run of bytes without white space, in windows of at most SEGMENT bytes.  Two gated recurrent layers of HIDDEN units read
-it from either end, and a softmax over both states labels every byte with a language or with NOISE (digits, codes, symbols).  The
-probabilities of all positions of a document are averaged.  Training is backpropagation through time in numpy, on a bounded sample of
-labelled documents.  The network starts anew at each segment, so a segment that recurs gets the same labels wherever it stands: each
-task runs the network once for each distinct segment and adds up the results for every occurrence.
+A document is read in windows of at most WINDOW bytes, cut between characters, with up to CONTEXT bytes on either side.  Two gated
+recurrent layers of HIDDEN units read each window, white space included, from either end, and a softmax over both states labels every byte
+with a language or with NOISE (digits, codes, symbols).  The probabilities of all positions of a document that are no white space are
+averaged.  Training is backpropagation through time in numpy, on a bounded sample of labelled documents.
 """
 
 from __future__ import annotations
@@ -17,21 +16,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import fresh, tidy
-
-#: Hidden units of each direction; bytes that the network reads at once.
-HIDDEN = 16
-SEGMENT = 24
-#: The sample: documents that are read for training at most, segments drawn for each language, steps, segments in a step, the first step size.
+from tidewater.llm.hashing import buffers
+
+#: Hidden units of each direction; bytes that are labelled at once, and those before and behind that are read along.
+HIDDEN = 8
+WINDOW = 112
+CONTEXT = 8
+#: The sample: documents that are read for training at most, windows drawn for each language and their bytes, steps, windows in a step,
+#: the first step size.
 TRAIN_DOCS = 2_000
-TRAIN_SEGMENTS = 20_000
+TRAIN_WINDOWS = 6_000
+TRAIN_BYTES = 48
 STEPS = 400
-BATCH = 1_024
+BATCH = 256
 RATE = 0.02
 #: The label of bytes that belong to no language, and the mean probability of it at which a document is rejected.
 NOISE = "und"
-REJECTED = 0.6
-#: Distinct segments that a task remembers; beyond it forgets them all and goes on.
-REMEMBERED = 150_000
+REJECTED = 0.75
+#: The code that fills windows up: it leaves a layer in its first state.
+PAD = 256
+#: Windows that the network reads side by side.
+SIDE = 2048
+SPACE = np.zeros(PAD + 1, np.bool_)
+SPACE[[9, 10, 11, 12, 13, 32, PAD]] = True
 
 RESULT = "doc_id long, lang string, prob double, positions long, own long, keep boolean"
 
@@ -41,13 +48,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Layer:
-    """One direction.  `inputs` (3H, 256) holds what each byte adds to the gates, bias included; `back` (3H, H) what the state adds."""
+    """One direction.  `inputs` (3H, PAD + 1) holds what each byte adds to the gates, bias included; `back` (3H, H) what the state adds."""
 
     def __init__(self, inputs: np.ndarray, back: np.ndarray) -> None:
         self.inputs, self.back = inputs, back
 
     def run(self, codes: np.ndarray, keep: list | None = None) -> list[np.ndarray]:
-        """States (H, B) after each of the bytes in `codes` (L, B); `keep` gets what the way back needs."""
+        """States (H, B) after each of the codes (L, B); `keep` gets what the way back needs."""
         h = np.zeros((self.back.shape[1], codes.shape[1]), np.float32)
         n_h, out = len(h), []
         for row in codes:
@@ -96,77 +103,108 @@ class Model:
             out.append(e / e.sum(axis=0))
         return out
 
-    def label(self, text: str) -> list[tuple[bytes, list[str]]]:
-        """Each segment of a text with the labels of its bytes."""
-        return [(s, [self.labels[int(p[:, 0].argmax())] for p in self.positions(np.frombuffer(s, np.uint8)[:, None])]) for w in text.lower().encode().split() for s in _windows(w)]
+    def label(self, text: str) -> list[str]:
+        """The label of every byte of a text in lower case."""
+        data = np.frombuffer(text.lower().encode(), np.uint8)
+        out: list[str] = []
+        for low, start, end, high in zip(*(x.tolist() for x in windows(data, np.array([0, len(data)]))[1:]), strict=True):
+            p = self.positions(data[low:high, None].astype(np.int64))
+            out += [self.labels[int(p[i][:, 0].argmax())] for i in range(start - low, end - low)]
+        return out
+
+    def loss(self, codes: np.ndarray, own: np.ndarray) -> float:
+        """The mean over all positions of what the right label lacks."""
+        return -float(np.mean([np.log(p[own, np.arange(len(own))]) for p in self.positions(codes)]))
 
-    def sums(self, segments: list[bytes]) -> np.ndarray:
-        """For each segment the sums over its bytes of the probabilities and of the labels as one-hot rows: (N, 2C)."""
+    def gradients(self, codes: np.ndarray, own: np.ndarray) -> list[np.ndarray]:
+        """Those of the loss, by backpropagation through time: of both layers, the weights of the labels and their bias."""
+        h, kept = self.forth.back.shape[1], ([], [])
+        states, logits = self.logits(codes, kept)
+        out, bias, outer = np.zeros_like(self.out), np.zeros_like(self.bias), []
+        for s, x in zip(states, logits, strict=True):
+            e = np.exp(x - x.max(axis=0))
+            p = e / e.sum(axis=0)
+            p[own, np.arange(len(own))] -= 1
+            p /= np.float32(len(own) * len(codes))
+            out += p @ s.T
+            bias += p.sum(axis=1, keepdims=True)
+            outer.append(self.out.T @ p)
+        return [*self.forth.gradients(kept[0], [o[:h] for o in outer]), *self.back.gradients(kept[1], [o[h:] for o in outer[::-1]]), out, bias]
+
+    def sums(self, data: np.ndarray, low: np.ndarray, start: np.ndarray, end: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """For each window of `data`, read from low to high, the sums over its bytes from start to end that are no white space of the
+        probabilities and of the labels as one-hot rows: (N, 2C)."""
         c = len(self.labels)
-        out = np.zeros((len(segments), 2 * c), np.float32)
-        lengths = np.fromiter(map(len, segments), np.int64, len(segments))
-        order = np.argsort(lengths, kind="stable")
-        cuts = np.searchsorted(lengths[order], np.arange(SEGMENT + 2))
-        for n in range(1, SEGMENT + 1):
-            for at in range(cuts[n], cuts[n + 1], 4096):
-                rows = order[at : min(at + 4096, cuts[n + 1])]
-                codes = np.ascontiguousarray(np.frombuffer(b"".join([segments[i] for i in rows]), np.uint8).reshape(-1, n).T)
-                for p in self.positions(codes):
-                    out[rows, :c] += p.T
-                    out[rows, c + p.argmax(axis=0)] += 1
+        out = np.zeros((len(low), 2 * c), np.float32)
+        order = np.argsort(high - low, kind="stable")
+        for first in range(0, len(order), SIDE):
+            some = order[first : first + SIDE]
+            place = low[some] + np.arange(int((high - low)[some].max()))[:, None]
+            codes = np.where(place < high[some], data[np.minimum(place, len(data) - 1)].astype(np.int64), PAD)
+            counts = ((place >= start[some]) & (place < end[some]) & ~SPACE[codes]).astype(np.float32)
+            total, column = np.zeros((2 * c, len(some)), np.float32), np.arange(len(some))
+            for p, one in zip(self.positions(codes), counts, strict=True):
+                total[:c] += p * one
+                total[c + p.argmax(axis=0), column] += one
+            out[some] = total.T
         return out
 
 
-def _windows(word: bytes) -> list[bytes]:
-    return [word[i : i + SEGMENT] for i in range(0, len(word), SEGMENT)]
+def windows(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of texts that begin at `at` (and the last ends): the text, and where reading, labelling, labelling's end and reading's
+    end are.  A text's windows have about equal lengths; none begins within a character."""
+    sizes = np.diff(at)
+    many = -(-sizes // WINDOW)
+    text = np.repeat(np.arange(len(sizes)), many)
+    k = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+
+    def whole(place: np.ndarray) -> np.ndarray:
+        for _ in range(3):
+            inside = (place > at[text]) & (place < at[text + 1])
+            inside[inside] = data[place[inside]] & 0xC0 == 0x80
+            place = place - inside
+        return place
+
+    start, end = (whole(at[text] + sizes[text] * j // many[text]) for j in (k, k + 1))
+    return text, whole(np.maximum(start - CONTEXT, at[text])), start, end, whole(np.minimum(end + CONTEXT, at[text + 1]))
 
 
-def _noise(rng: np.random.Generator, n: int) -> list[bytes]:
-    """Segments that belong to no language: digits, hexadecimal and base-64 codes, symbols, any bytes."""
-    sets = [b"0123456789", b"0123456789abcdef", b"0123456789abcdefghijklmnopqrstuvwxyz+/", b"!#$%&*+-./:;<=>?@^_~|()[]{}", bytes(range(33, 256))]
-    return [bytes(rng.choice(np.frombuffer(sets[k], np.uint8), size)) for k, size in zip(rng.integers(0, len(sets), n).tolist(), rng.integers(1, SEGMENT + 1, n).tolist(), strict=True)]
+def _noise(rng: np.random.Generator, n: int) -> bytes:
+    """Bytes that belong to no language: digits, hexadecimal and base-64 codes, symbols, any bytes, with white space between."""
+    sets = [np.frombuffer(x, np.uint8) for x in (b"0123456789", b"0123456789abcdef", b"0123456789abcdefghijklmnopqrstuvwxyz+/", b"!#$%&*+-./:;<=>?@^_~|()[]{}", bytes(range(33, 256)))]
+    out, size = [], 0
+    while size < n:
+        out.append(rng.choice(sets[rng.integers(0, len(sets))], rng.integers(1, 25)).tobytes())
+        size += len(out[-1]) + 1
+    return b" ".join(out)
 
 
 def train(texts: list[str], langs: list[str], seed: int = 7, steps: int = STEPS) -> Model:
     """A model from labelled texts; the labels are their languages in order, and NOISE."""
     rng = np.random.default_rng(seed)
     labels = [*sorted(set(langs) - {NOISE}), NOISE]
-    drawn: list[tuple[bytes, int]] = []
+    codes, own = [], []
     for k, lang in enumerate(labels):
-        own = [s for t, x in zip(texts, langs, strict=True) if x == lang for w in t.lower().encode().split() for s in _windows(w)]
-        if lang == NOISE:
-            drawn += [(s, k) for s in _noise(rng, TRAIN_SEGMENTS)]
-        if own:
-            drawn += [(own[i], k) for i in rng.integers(0, len(own), TRAIN_SEGMENTS).tolist()]
-    by: dict[int, list[tuple[bytes, int]]] = {}
-    for s, k in drawn:
-        by.setdefault(len(s), []).append((s, k))
-    sizes = sorted(by)
-    data = {n: (np.frombuffer(b"".join(s for s, _ in by[n]), np.uint8).reshape(-1, n), np.array([k for _, k in by[n]])) for n in sizes}
-    share = np.array([len(by[n]) for n in sizes], float)
-    share /= share.sum()
+        whole = [" ".join(t for t, x in zip(texts, langs, strict=True) if x == lang).lower().encode()] if lang in langs else []
+        for raw in [*whole, _noise(rng, TRAIN_WINDOWS * TRAIN_BYTES // 4)] if lang == NOISE else whole:
+            data = np.frombuffer(raw + b" " * TRAIN_BYTES, np.uint8)
+            begin = rng.integers(0, max(1, len(raw) - TRAIN_BYTES), TRAIN_WINDOWS)
+            codes.append(data[begin[:, None] + np.arange(TRAIN_BYTES)])
+            own.append(np.full(TRAIN_WINDOWS, k))
+    data, label = np.concatenate(codes), np.concatenate(own)
 
     h, c = HIDDEN, len(labels)
     one = lambda *shape: rng.normal(0, 0.3, shape).astype(np.float32)
-    params = [one(3 * h, 256), one(3 * h, h), one(3 * h, 256), one(3 * h, h), one(c, 2 * h), np.zeros((c, 1), np.float32)]
+    params = [one(3 * h, PAD + 1), one(3 * h, h), one(3 * h, PAD + 1), one(3 * h, h), one(c, 2 * h), np.zeros((c, 1), np.float32)]
+    for i in (0, 2):
+        # Both gates shut: the state is the new value, which is nothing.
+        params[i][:, PAD] = np.repeat(np.array([-1e4, -1e4, 0], np.float32), h)
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(steps):
-        codes, own = data[sizes[rng.choice(len(sizes), p=share)]]
-        pick = rng.integers(0, len(own), min(BATCH, 4 * len(own)))
-        codes, own = np.ascontiguousarray(codes[pick].T), own[pick]
+        pick = rng.integers(0, len(label), BATCH)
+        codes, own = np.ascontiguousarray(data[pick].T.astype(np.int64)), label[pick]
         model = Model(labels, Layer(params[0], params[1]), Layer(params[2], params[3]), params[4], params[5])
-        kept: tuple[list, list] = ([], [])
-        states, logits = model.logits(codes, kept)
-        out, bias, outer = np.zeros_like(params[4]), np.zeros_like(params[5]), []
-        for s, x in zip(states, logits, strict=True):
-            e = np.exp(x - x.max(axis=0))
-            p = e / e.sum(axis=0)
-            p[own, np.arange(len(own))] -= 1
-            p /= np.float32(len(own) * len(codes))
-            out += p @ s.T
-            bias += p.sum(axis=1, keepdims=True)
-            outer.append(params[4].T @ p)
-        grads = [*model.forth.gradients(kept[0], [o[:h] for o in outer]), *model.back.gradients(kept[1], [o[h:] for o in outer[::-1]]), out, bias]
+        grads = model.gradients(codes, own)
         rate = RATE * (1 - step / steps) + 1e-4
         for i, g in enumerate(grads):
             first[i] = 0.9 * first[i] + 0.1 * g
@@ -177,57 +215,31 @@ def train(texts: list[str], langs: list[str], seed: int = 7, steps: int = STEPS)
 
 def fit(labelled: DataFrame, docs: int = TRAIN_DOCS) -> Model | None:
     """A model from at most `docs` rows of (doc_id, text, lang), those of the least hashes; None where no row has all three."""
-    rows = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where("doc_id is not null and lang is not null and trim(text) <> ''")
+    rows = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where("doc_id is not null and lang is not null")
     # The share of the hashes that holds about `docs` rows, so that no task sends the driver more than its part of them.
     share = min(1.0, 1.2 * docs / max(1, rows.count()))
-    near = rows.where(F.xxhash64("doc_id") <= F.lit(int(min(2.0**63 - 1025, -(2.0**63) + share * 2.0**64))))
+    near = rows.where(F.xxhash64("doc_id") <= F.lit(int(min(2.0**63 - 1025, -(2.0**63) + share * 2.0**64)))).where("trim(text) <> ''")
     some = near.orderBy(F.xxhash64("doc_id"), "doc_id", "text", "lang").limit(docs).collect()
     return train([r["text"] for r in some], [r["lang"] for r in some]) if some else None
 
 
-class _Known(dict):
-    """Places of segments in the table of sums; a new one is put down for the network."""
-
-    def __init__(self) -> None:
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = place = len(self)
-        self.new.append(word)
-        return place
-
-
 def _labeller(model: Model):
     c = len(model.labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, table = _Known(), np.zeros((1 << 16, 2 * c), np.float32)
         for batch in batches:
             total = np.zeros((len(batch), 2 * c))
-            # Few rows at a time, so that few texts are cut into segments at once.
-            for start in range(0, len(batch), 256):
-                codes = []
-                for raw in batch.column("raw").slice(start, 256).to_pylist():
-                    words = (raw or b"").split()
-                    codes.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
-                if known.new:
-                    pieces = [_windows(w) for w in known.new]
-                    own = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
-                    sums = model.sums([s for p in pieces for s in p])
-                    if len(own) != len(pieces):
-                        sums = np.add.reduceat(sums, np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])))
-                    if len(known) > len(table):
-                        table = np.concatenate([table, np.zeros((max(len(table), len(known)), 2 * c), np.float32)])
-                    table[len(known) - len(sums) : len(known)] = sums
-                    known.new = []
-                for i, own in enumerate(codes, start):
-                    if len(own):
-                        total[i] = table[own].sum(axis=0, dtype=np.float64)
-                if len(known) > REMEMBERED:
-                    known = _Known()
+            # Few rows at a time, so that few windows are open at once.
+            for first in range(0, len(batch), 256):
+                data, at = buffers(batch.column("raw").slice(first, 256))
+                text, *places = windows(data, at)
+                # A very long text's windows come in parts.
+                for k in range(0, len(text), 8 * SIDE):
+                    sums = model.sums(data, *(p[k : k + 8 * SIDE] for p in places))
+                    np.add.at(total, first + text[k : k + 8 * SIDE], sums)
             sizes = np.round(total[:, c:].sum(axis=1)).astype(np.int64)
             some = sizes > 0
-            best = np.where(total[:, c - 1] >= REJECTED * sizes, c - 1, total[:, : c - 1].argmax(axis=1))
+            best = np.where(total[:, c - 1] >= REJECTED * sizes, c - 1, total[:, : c - 1].argmax(axis=1) if c > 1 else 0)
             langs = [model.labels[k] if s else None for k, s in zip(best, some, strict=True)]
             prob = np.round(total[np.arange(len(best)), best] / np.maximum(sizes, 1), 4)
             yield pa.RecordBatch.from_arrays(
@@ -243,8 +255,9 @@ def identified(docs: DataFrame, model: Model | None) -> DataFrame:
 
     lang is the language of the highest mean probability over all positions (bytes that are no white space), or NOISE where that has a
     mean of REJECTED or more; prob is the mean, own the positions that bear the label themselves.  keep is false where the label is
-    NOISE or there is no position: a null or empty text, or white space alone, has a null lang and prob.  Without a model every lang is null and every row is kept.  Rows are judged one by
-    one, so repeated rows and null ids give a row each; other columns are ignored.
+    NOISE or there is no position: a null or empty text, or white space alone, has a null lang and prob.  Of equal means the first
+    language in order counts.  Without a model every lang is null and every row is kept.  Texts may have any length.  Rows are judged
+    one by one, so repeated rows and null ids give a row each; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").cast("binary").alias("raw"))
     if model is None:
@@ -276,5 +289,6 @@ def languages_kept(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`identified` for all documents, by a model of a sample of them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return identified(docs, fit(docs))
