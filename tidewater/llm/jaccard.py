@@ -35,8 +35,8 @@ FEW = 128
 PER = (2.0, 1.0)
 #: Counters of documents by n-gram, which order the segments.
 SLOTS = 1 << 16
-#: Segments in one group of the join on average, and documents that may share one before they are split into tiles.
-BUCKET_KEYS = 3_000_000
+#: Segments of one band in one group of the join on average, and documents that may share one before they are split into tiles.
+BUCKET_KEYS = 2_000_000
 TILE_DOCS = 200_000
 #: First segments of each set that tell whether a pair has met before.
 FIRST = 2
@@ -170,7 +170,20 @@ def _values(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(pa.decompress(raw[4:], 8 * n, "zstd", asbytes=True), np.uint8).reshape(8, n).T).view(U).ravel()
 
 
-def _packer(n: int, t: float, weights: np.ndarray, buckets: int, tile: int):
+def lanes(bands: list[tuple[int, int]], t: float, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many buckets each band's segments go to, and the first of them, from (band, members of its sets).  Only sets of a band meet,
+    so a set's segments go to as few buckets as the size of its band asks for."""
+    total = np.zeros(max((b for b, _ in bands), default=0) + 3)
+    for b, members in bands:
+        # The band may be one off, as it comes from a logarithm.
+        for k, share in ((b, (1 - t) / t), (b - 1, 2 * (1 - t) / (1 + t))):
+            if k >= 0:
+                total[k] += share * members
+    many = np.maximum(1, np.ceil(total / size)).astype(np.int64)
+    return many, np.cumsum(many) - many
+
+
+def _packer(n: int, t: float, weights: np.ndarray, many_buckets: np.ndarray, first_bucket: np.ndarray, tile: int):
     """The segments of some thousand documents at a time, by the bucket in which they meet others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +211,8 @@ def _packer(n: int, t: float, weights: np.ndarray, buckets: int, tile: int):
                 key, who, many, r = key[again], who[again], many[again], r[again]
                 low, high = np.minimum(r, other).astype(U), np.maximum(r, other).astype(U)
                 code = (key & U((1 << 40) - 1)) << U(24) | many.astype(U) << U(16) | low << U(8) | high
-                bucket = (mix((key >> U(40)) + (low << U(8) | high) * U(0x9FB21C651E98DF25)) % U(buckets)).astype(np.int64)
+                band = np.minimum(space[who], len(many_buckets) - 1)
+                bucket = first_bucket[band] + (mix((key >> U(40)) + (low << U(8) | high) * U(0x9FB21C651E98DF25)) % many_buckets[band].astype(U)).astype(np.int64)
                 order = np.lexsort((code, bucket))
                 bucket, code, who = bucket[order], code[order], who[order]
                 cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
@@ -320,13 +334,15 @@ def set_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD,
     spark = docs.sparkSession
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).where("doc_id is not null")
     signs = checkpointed(text.mapInArrow(tidy(_signatures(ngram)), SIGNATURE))
-    weights, total = np.zeros(SLOTS, np.int64), signs.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
+    weights = np.zeros(SLOTS, np.int64)
     for slot, often in signs.where("slots is not null").select(F.posexplode("slots")).where("col > 0").groupBy("pos").agg(F.sum("col")).collect():
         weights[slot] = often
     versions = signs.where("doc_id is not null").select("doc_id", "sid", "n").distinct()
-    buckets = max(1, math.ceil(total * 0.8 / bucket))
-    packed = text.where("text is not null").mapInArrow(tidy(_packer(ngram, threshold, weights, buckets, tile)), PACKED)
-    met = packed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(tidy_group(_meet(threshold)), "sid_a long, sid_b long, n_a int, n_b int, word long")
+    band = F.floor(F.log("n") / -math.log(threshold) + 1e-9).cast("int")
+    bands = [tuple(b) for b in signs.where("n > 0").groupBy(band.alias("band")).agg(F.sum(F.col("n").cast("long"))).collect()]
+    many, first = lanes(bands, threshold, bucket)
+    packed = text.where("text is not null").mapInArrow(tidy(_packer(ngram, threshold, weights, many, first, tile)), PACKED)
+    met = packed.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(many.sum())), "bucket").groupBy("bucket").applyInArrow(tidy_group(_meet(threshold)), "sid_a long, sid_b long, n_a int, n_b int, word long")
     near = checkpointed(met.groupBy("sid_a", "sid_b", "n_a", "n_b").agg(F.min("word").alias("word")))
 
     # Pairs go where one segment sends them, in tiles if there are very many; sets follow.
