@@ -55,7 +55,7 @@ def test_sequences(spark):
     assert [(r["g"], r["v"], r["n"]) for r in sequences.runs(rows, "g", ["i"], "v").orderBy("g", "run").collect()] == [("a", "x", 2), ("a", "y", 3), ("a", "x", 1), ("b", None, 2)]
     got = sequences.carried(rows, "g", ["i"], F.when(F.col("v") == "y", F.col("i"))).where("g = 'a'").orderBy("i").collect()
     assert [r["section"] for r in got] == [None, None, 2, 3, 4, 4]
-    assert spark.createDataFrame([(x,) for x in (4, 1, 3, 2)], "x int").agg(sequences.upper_median(F.col("x"))).first()[0] == 3
+    assert spark.createDataFrame([(x,) for x in (4, 1, 3, 2)], "x int").agg(sequences.upper_median("x")).first()[0] == 3
 
 
 def test_bfs_ends_on_cycles_and_keeps_the_least_depth(spark):
@@ -88,14 +88,23 @@ def test_scores(spark):
     row = spark.range(1)
     f = lambda c: row.select(c).first()[0]
     lit = F.lit
-    assert f(web.person_score(lit(2), lit(True), lit(2), lit(True), lit(True), lit(True), lit(False))) == 1.0 and f(web.person_score(lit(2), lit(True), lit(2), lit(True), lit(True), lit(True), lit(True))) == 0.0
+    yes, no = lit(True), lit(False)
+    score = lambda *x: f(web.person_score(*map(lit, x)))
+    assert score(2, True, True, 2, True, True, True, False) == 1.0 and score(2, True, True, 2, True, True, True, True) == 0.0
+    # An address of any kind and an e-mail: the better of both; no section's name, no .05.
+    assert score(2, True, False, 0, False, True, True, False) == 0.65 and score(1, True, True, 1, False, True, False, False) == 0.58
+    assert score(0, True, True, 2, True, True, True, False) == score(2, False, True, 2, True, True, True, False) == score(2, True, True, 0, False, True, False, False) == 0.0
     assert f(web.candidate_score(lit(0.5), lit(0.1), lit(0.9), lit(0.0), lit(1.0), lit(0.2), lit(True))) == 0.6
     assert [f(web.member_cap(lit(d), lit(c), lit(n))) for d, c, n in ((True, 0.8, 5), (True, 0.5, 5), (False, 0.0, 61), (False, 0.0, 60))] == [20, 30, 60, None]
-    assert [f(web.identity_state(lit(v), lit(s), lit(a), lit(b))) for v, s, a, b in ((False, True, 1, 1), (True, True, 0, 0), (True, False, 2, 0), (True, False, 0, 1), (True, False, 0, 0))] == ["INVALID", "VERIFIED", "RESOLVABLE", "PARTIAL", "INVALID"]
+    state = lambda *x: tuple(f(c) for c in web.identity_state(*map(lit, x)))
+    assert state(True, True, False, False, False, False, False) == ("VERIFIED", 1.0) and state(False, True, True, True, True, True, True) == ("INVALID", 0.0)
+    assert state(False, False, True, True, False, False, False) == ("RESOLVABLE", 0.85) and state(False, False, True, False, True, False, False) == ("RESOLVABLE", 0.75)
+    assert state(False, False, True, False, False, False, True) == ("PARTIAL", 0.55) and state(False, False, True, False, False, False, False) == ("INVALID", 0.0)
     assert one(spark, web.identity_kind, "https://github.com/ann", "https://github.com/ann/x", "https://orcid.org/0", "https://www.linkedin.com/in/a", "http://ex.org") == ["github", "repository", "orcid", "linkedin", "homepage"]
     assert f(web.extraction_confidence(lit(1.0), lit(True), lit(True), lit(False), lit(True))) == 1.0 and f(web.talent_confidence(lit(0.5), lit(9), lit(True))) == 0.9
-    flag, sure = web.department_scope(lit(True), lit(False), [(lit(True), 0.2)], lit(False))
-    assert f(flag) and f(sure) == 0.6
+    scope = lambda *x: tuple(f(c) for c in web.department_scope(*map(lit, x)))
+    assert scope(0.25, 0.3, 31, 0, 0, False) == (True, 0.65) and scope(0.0, 0.0, 120, 20, 0, False) == (False, 0.65) and scope(0.0, 0.0, 120, 20, 15, True) == (True, 0.75)
+    assert scope(0.25, 0.3, 25, 2, 15, True) == (False, 0.325) and scope(0.25, 0.3, 25, 3, 15, True) == (True, 0.65)
 
 
 @pytest.mark.parametrize(

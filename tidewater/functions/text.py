@@ -37,7 +37,7 @@ def fetchable(url: Column) -> Column:
 
 def host(url: Column) -> Column:
     """The host without its port, in lower case."""
-    found = F.lower(F.regexp_extract(url, "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)", 1))
+    found = F.lower(F.regexp_extract(url, "^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     return F.when(found != "", found)
 
 

@@ -48,7 +48,7 @@ def metrics(runs: DataFrame) -> DataFrame:
     return runs.agg(
         n.alias("people"), F.count_if(F.expr("homepage is not null and homepage <> ''")).alias("with_homepage"), fetched.alias("fetched"), navigated.alias("navigated"), found.alias("with_members"), rate(fetched, n).alias("fetch_rate"),
         rate(navigated, n).alias("navigation_rate"), rate(found, n).alias("member_rate"), members.alias("members"), F.sum("current_members").alias("current"), F.sum("former_members").alias("former"),
-        F.round(F.avg("current_members"), 4).alias("mean_current"), upper_median(F.col("current_members")).alias("median_current"), F.max("current_members").alias("most_current"), F.round(F.avg("depth"), 4).alias("mean_depth"),
+        F.round(F.avg("current_members"), 4).alias("mean_current"), upper_median("current_members").alias("median_current"), F.max("current_members").alias("most_current"), F.round(F.avg("depth"), 4).alias("mean_depth"),
         F.round(F.avg("confidence"), 4).alias("mean_confidence"), F.round(F.avg("pages"), 4).alias("mean_pages"), rate(F.sum("raw_members") - members, F.sum("raw_members")).alias("dedup_rate"),
     )
 

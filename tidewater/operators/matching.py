@@ -32,7 +32,7 @@ def gazetteer_match(rows: DataFrame, gazetteer: DataFrame, key: str, raw: str) -
 
 def first_allowed(rows: DataFrame, denied: DataFrame, key: str, host: str, position: str, value: str) -> DataFrame:
     """The first value of each key whose host isn't denied."""
-    kept = rows.join(F.broadcast(denied), host, "left_anti")
+    kept = rows.join(denied, host, "left_anti")
     return kept.groupBy(key).agg(F.min_by(value, position).alias(value))
 
 
@@ -55,10 +55,13 @@ def tokens(c: Column) -> Column:
 
 
 def subset_pairs(rows: DataFrame, key: str, name: str, block: str | None = None) -> DataFrame:
-    """Pairs of names of which one's tokens, two or more, all occur in the other.  They are found over the shorter name's first token, so
-    that only names that share a token meet."""
+    """Pairs of names of which one's tokens, two or more, all occur in the other.  They are found over the shorter name's rarest token (of
+    equals the first in order), so that a token which many names have brings few together."""
     t = rows.select(F.col(key), F.col(name), tokens(F.col(name)).alias("_t"), *([F.col(block)] if block else [])).where(F.size("_t") >= 2)
-    a = t.select(F.col(key).alias("key_a"), F.col(name).alias("name_a"), F.col("_t").alias("_a"), F.element_at("_t", 1).alias("_on"), *([F.col(block)] if block else []))
+    often = t.select(F.explode("_t").alias("_on")).groupBy("_on").agg(F.count(F.lit(1)).alias("_n"))
+    each = t.select(F.col(key).alias("key_a"), F.col(name).alias("name_a"), F.col("_t").alias("_a"), F.explode("_t").alias("_on"), *([F.col(block)] if block else [])).join(often, "_on")
+    mine = ["key_a", "name_a", "_a", *([block] if block else [])]
+    a = each.groupBy(*mine).agg(F.min_by("_on", F.struct("_n", "_on")).alias("_on"))
     b = t.select(F.col(key).alias("key_b"), F.col(name).alias("name_b"), F.col("_t").alias("_b"), F.explode("_t").alias("_on"), *([F.col(block)] if block else []))
     met = a.join(b, ["_on", block] if block else ["_on"])
     return met.where((F.col("key_a") != F.col("key_b")) & (F.size(F.array_except("_a", "_b")) == 0)).select("key_a", "name_a", "key_b", "name_b")

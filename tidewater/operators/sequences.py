@@ -29,6 +29,7 @@ def top_per_group(rows: DataFrame, group: list[str], order: list[Column], n: int
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col(name) <= n)
 
 
-def upper_median(value: Column) -> Column:
-    """The element in the middle, of two the upper one.  Exact: it gathers a group's values, so groups must fit a task."""
-    return F.element_at(F.sort_array(F.collect_list(value)), (F.floor(F.count(value) / 2) + 1).cast("int"))
+def upper_median(value: str) -> Column:
+    """The element in the middle of a column or SQL expression, of two the upper one: the first half from above.  A task counts a group's
+    distinct values."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {value} DESC)")

@@ -136,7 +136,7 @@ def slots(rows: DataFrame, rules: DataFrame, key: str = "page_id", least: float
     The rules are (slot, token, kind) with kind anchor or path."""
     met = rows.crossJoin(F.broadcast(rules))
     each = met.groupBy(key, "pos", "anchor", "url", "slot").agg(F.max(F.when(F.col("kind") == "anchor", strength(F.col("anchor"), F.col("token"))).otherwise(0.0)).alias("by_anchor"), F.max(F.when(F.col("kind") == "path", strength(path(F.col("url")), F.col("token"))).otherwise(0.0)).alias("by_path"))
-    scored = each.withColumn("score", F.round(0.65 * F.col("by_anchor") + 0.35 * F.col("by_path"), 4)).where(F.col("score") >= least)
+    scored = each.withColumn("score", F.bround(0.65 * F.col("by_anchor") + 0.35 * F.col("by_path"), 4)).where(F.col("score") >= least)
     w = Window.partitionBy(key, "slot").orderBy(F.desc("score"), "pos")
     return scored.withColumn("_rk", F.row_number().over(w)).where("_rk = 1").select(key, "slot", "pos", "anchor", "url", "score")
 
@@ -186,7 +186,7 @@ def candidate_score(kind: Column, ownership: Column, evidence: Column, bonus: Co
     """Type, ownership, member evidence (up to .35), address bonus (up to .35) and a tenth of the graph's confidence, less the guard and .25
     for a directory, between 0 and 1."""
     raw = kind + ownership + F.least(evidence, F.lit(0.35)) + F.least(bonus, F.lit(0.35)) + 0.1 * graph - guard - F.when(directory, 0.25).otherwise(0.0)
-    return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), raw)), 4)
+    return F.bround(F.greatest(F.lit(0.0), F.least(F.lit(1.0), raw)), 4)
 
 
 def candidates(rows: DataFrame, kinds: list[tuple[str, str, float]], guards: list[tuple[str, float]], key: str = "page_id", least: float = 0.3, top: int = 5) -> DataFrame:
@@ -211,14 +211,25 @@ def classified(text: Column, url: Column, title: Column, types: list[tuple[str,
     name = F.lit("unknown")
     for label, s in reversed(scores):
         name = F.when((s == best) & (best >= least), label).otherwise(name)
-    return name, F.round(best, 4)
+    return name, F.bround(best, 4)
 
 
-def department_scope(url_rule: Column, title_rule: Column, facts: list[tuple[Column, float]], personal: Column) -> tuple[Column, Column]:
-    """(is a department's page, confidence): added weights, halved for a personal page; .55 with a rule of the url or title, else .75."""
-    total = sum((F.when(c, x).otherwise(0.0) for c, x in facts), F.when(url_rule, 0.4).otherwise(0.0) + F.when(title_rule, 0.35).otherwise(0.0))
-    sure = F.round(F.least(F.lit(1.0), F.when(personal, total * 0.5).otherwise(total)), 4)
-    return (sure >= 0.55) & (url_rule | title_rule) | (sure >= 0.75), sure
+def steps(value: Column, ladder: list[tuple[int, float]]) -> Column:
+    """The points of the first step (at least so many) that a value reaches; steps go down."""
+    out = F.lit(0.0)
+    for least, points in reversed(ladder):
+        out = F.when(value >= least, points).otherwise(out)
+    return out
+
+
+def department_scope(url_points: Column, title_points: Column, entries: Column, faculty: Column, profiles: Column, group_url: Column) -> tuple[Column, Column]:
+    """(is a department's page, confidence): points of the url and the title, of more than 100, 50 or 30 entries, of 20, 10 or 5 faculty
+    roles, of 30 or 15 profiles; halved where a group's address has at most 25 entries and two faculty roles.  It is one from .55 with
+    points of the url or title, else from .75."""
+    total = url_points + title_points + steps(entries, [(101, 0.35), (51, 0.2), (31, 0.1)]) + steps(faculty, [(20, 0.3), (10, 0.2), (5, 0.1)]) + steps(profiles, [(30, 0.15), (15, 0.1)])
+    total = F.when((entries <= 25) & (faculty <= 2) & group_url, total * 0.5).otherwise(total)
+    sure = F.bround(F.least(F.lit(1.0), total), 3)
+    return (sure >= 0.55) & ((url_points > 0) | (title_points > 0) | (sure >= 0.75)), sure
 
 
 def member_cap(department: Column, confidence: Column, found: Column) -> Column:
@@ -226,26 +237,32 @@ def member_cap(department: Column, confidence: Column, found: Column) -> Column:
     return F.when(department & (confidence >= 0.7), 20).when(department & (confidence >= 0.4), 30).when(department, 20).when(found > 60, 60)
 
 
-def person_score(name: Column, in_section: Column, role: Column, own_url: Column, url: Column, email: Column, rejected: Column) -> Column:
-    """Name .25 (.1 for a loose one), section .25, role .2 (.1 for a hint), own url .25 (.08 for any), else e-mail .15, and .05 for being there;
-    0 for a rejected row.  name, role: 0 none, 1 loose, 2 full."""
-    by_url = F.when(own_url, 0.25).when(url, 0.08).when(email, 0.15).otherwise(0.0)
-    total = F.when(name == 2, 0.25).when(name == 1, 0.1).otherwise(0.0) + F.when(in_section, 0.25).otherwise(0.0) + F.when(role == 2, 0.2).when(role == 1, 0.1).otherwise(0.0) + by_url + 0.05
-    return F.round(F.when(rejected, 0.0).otherwise(F.least(total, F.lit(1.0))), 4)
+def person_score(name: Column, in_section: Column, section: Column, role: Column, own_url: Column, url: Column, email: Column, rejected: Column) -> Column:
+    """Name .25 (.1 for a loose one), member section .25, role .2 (.1 for a hint), own address .25 (.08 for any, .15 at least with an
+    e-mail), and .05 for a named section.  0 for a rejected row, one that is no name, one outside a member section, and one with neither own
+    address, e-mail nor role.  name, role: 0 none, 1 loose, 2 full."""
+    by_url = F.greatest(F.when(own_url, 0.25).when(url, 0.08).otherwise(0.0), F.when(email, 0.15).otherwise(0.0))
+    total = F.when(name == 2, 0.25).otherwise(0.1) + F.lit(0.25) + F.when(role == 2, 0.2).when(role == 1, 0.1).otherwise(0.0) + by_url + F.when(section, 0.05).otherwise(0.0)
+    out = rejected | (name == 0) | ~in_section | ~(own_url | email | (role > 0))
+    return F.when(out, 0.0).otherwise(F.bround(F.least(total, F.lit(1.0)), 4))
 
 
 def extraction_confidence(valid: Column, url: Column, role: Column, hint: Column, name: Column) -> Column:
     """.6 of validity, .2 for a url, .15 for a role, .05 for a hint and .05 for a name."""
-    return F.round(F.least(F.lit(1.0), 0.6 * valid + F.when(url, 0.2).otherwise(0.0) + F.when(role, 0.15).otherwise(0.0) + F.when(hint, 0.05).otherwise(0.0) + F.when(name, 0.05).otherwise(0.0)), 4)
+    return F.bround(F.least(F.lit(1.0), 0.6 * valid + F.when(url, 0.2).otherwise(0.0) + F.when(role, 0.15).otherwise(0.0) + F.when(hint, 0.05).otherwise(0.0) + F.when(name, 0.05).otherwise(0.0)), 4)
 
 
 def talent_confidence(confidence: Column, identities: Column, role: Column) -> Column:
-    return F.round(F.least(F.lit(1.0), confidence + F.least(F.lit(0.3), 0.08 * identities) + F.when(role, 0.1).otherwise(0.0)), 4)
+    return F.bround(F.least(F.lit(1.0), confidence + F.least(F.lit(0.3), 0.08 * identities) + F.when(role, 0.1).otherwise(0.0)), 4)
 
 
-def identity_state(valid_name: Column, verified: Column, strong: Column, weak: Column) -> Column:
-    """VERIFIED with a confirmed identity, RESOLVABLE with two strong ones, PARTIAL with any, INVALID without a name or any."""
-    return F.when(~valid_name, "INVALID").when(verified, "VERIFIED").when(strong >= 2, "RESOLVABLE").when(strong + weak >= 1, "PARTIAL").otherwise("INVALID")
+def identity_state(exported: Column, invalid: Column, homepage: Column, accepted: Column, external: Column, affiliated: Column, placed: Column) -> tuple[Column, Column]:
+    """(state, confidence): VERIFIED (1) for what was exported, whatever else holds; INVALID (0) for no person's name, alumni, professors,
+    administrators and rows outside member sections; RESOLVABLE with a homepage and acceptance (.85) or with an identity elsewhere or a
+    strong affiliation (.75); PARTIAL (.55) with a section, hint or role; else INVALID."""
+    strong, known = homepage & accepted, external | affiliated
+    state = F.when(exported, "VERIFIED").when(invalid, "INVALID").when(strong | known, "RESOLVABLE").when(placed, "PARTIAL").otherwise("INVALID")
+    return state, F.when(exported, 1.0).when(invalid, 0.0).when(strong, 0.85).when(known, 0.75).when(placed, 0.55).otherwise(0.0)
 
 
 def identity_kind(url: Column) -> Column:

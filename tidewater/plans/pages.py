@@ -92,9 +92,9 @@ def person_validation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as entries: their keys decide what each shows."""
     k = F.col("c_custkey")
     rows = table(spark, sf_dir, "customer").select(
-        "c_custkey", (k % 3).alias("name"), (k % 2 == 0).alias("in_section"), (k % 5 % 3).alias("role"), (k % 7 == 0).alias("own"), (k % 4 == 0).alias("url"), (k % 3 == 1).alias("email"), (k % 11 == 0).alias("rejected")
+        "c_custkey", (k % 3).alias("name"), (k % 5 != 0).alias("in_section"), (k % 2 == 0).alias("section"), (k % 5 % 3).alias("role"), (k % 7 == 0).alias("own"), (k % 4 == 0).alias("url"), (k % 3 == 1).alias("email"), (k % 11 == 0).alias("rejected")
     )
-    score = web.person_score(F.col("name"), F.col("in_section"), F.col("role"), F.col("own"), F.col("url"), F.col("email"), F.col("rejected"))
+    score = web.person_score(F.col("name"), F.col("in_section"), F.col("section"), F.col("role"), F.col("own"), F.col("url"), F.col("email"), F.col("rejected"))
     out = rows.withColumn("score", score)
     sure = web.extraction_confidence(F.col("score"), F.col("url"), F.col("role") == 2, F.col("role") == 1, F.col("name") > 0)
     return out.select("c_custkey", "score", sure.alias("extraction"), (F.col("score") >= 0.55).alias("kept"))
@@ -102,8 +102,8 @@ def person_validation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def identity_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
-    rows = table(spark, sf_dir, "customer").select(web.identity_state(k % 13 != 0, k % 6 == 0, k % 3, k % 2).alias("state"))
-    return rows.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+    state, sure = web.identity_state(k % 13 == 0, k % 4 == 0, k % 3 == 0, k % 5 < 3, k % 7 == 0, k % 11 == 0, k % 2 == 1)
+    return table(spark, sf_dir, "customer").groupBy(state.alias("state"), sure.alias("confidence")).agg(F.count(F.lit(1)).alias("n"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -128,9 +128,10 @@ m AS (SELECT page_id, {", ".join(f"regexp_matches(t, '(^| ){x}( |$)') AS is_{x}"
 s AS (SELECT page_id, {", ".join(f"CASE WHEN is_{a} THEN CAST(0.3 AS DOUBLE) ELSE 0 END + CASE WHEN is_{b} THEN CAST(0.2 AS DOUBLE) ELSE 0 END AS {n}" for n, a, b in (("article", "the", "and"), ("listing", "der", "die"), ("profile", "la", "de")))} FROM m)
 SELECT page_id, CASE WHEN greatest(article, listing, profile) < 0.4 THEN 'unknown' WHEN article = greatest(article, listing, profile) THEN 'article' WHEN listing = greatest(article, listing, profile) THEN 'listing' ELSE 'profile' END AS kind,
   round(greatest(article, listing, profile), 4) AS score FROM s""",
-    "person_validation_scores": """WITH r AS (SELECT c_custkey, c_custkey % 3 AS name, c_custkey % 2 = 0 AS sec, c_custkey % 5 % 3 AS role, c_custkey % 7 = 0 AS own, c_custkey % 4 = 0 AS url, c_custkey % 3 = 1 AS email, c_custkey % 11 = 0 AS bad FROM customer),
-s AS (SELECT *, CASE WHEN bad THEN CAST(0 AS DOUBLE) ELSE round(CAST((CASE name WHEN 2 THEN 25 WHEN 1 THEN 10 ELSE 0 END + CASE WHEN sec THEN 25 ELSE 0 END + CASE role WHEN 2 THEN 20 WHEN 1 THEN 10 ELSE 0 END
-  + CASE WHEN own THEN 25 WHEN url THEN 8 WHEN email THEN 15 ELSE 0 END + 5) AS DOUBLE) / 100, 4) END AS score FROM r)
+    "person_validation_scores": """WITH r AS (SELECT c_custkey, c_custkey % 3 AS name, c_custkey % 5 <> 0 AS inside, c_custkey % 2 = 0 AS sec, c_custkey % 5 % 3 AS role, c_custkey % 7 = 0 AS own, c_custkey % 4 = 0 AS url, c_custkey % 3 = 1 AS email, c_custkey % 11 = 0 AS bad FROM customer),
+s AS (SELECT *, CASE WHEN bad OR name = 0 OR NOT inside OR NOT (own OR email OR role > 0) THEN CAST(0 AS DOUBLE) ELSE round(CAST((CASE name WHEN 2 THEN 25 ELSE 10 END + 25 + CASE role WHEN 2 THEN 20 WHEN 1 THEN 10 ELSE 0 END
+  + greatest(CASE WHEN own THEN 25 WHEN url THEN 8 ELSE 0 END, CASE WHEN email THEN 15 ELSE 0 END) + CASE WHEN sec THEN 5 ELSE 0 END) AS DOUBLE) / 100, 4) END AS score FROM r)
 SELECT c_custkey, score, round(least(CAST(1 AS DOUBLE), CAST(0.6 AS DOUBLE) * score + CAST(CASE WHEN url THEN 20 ELSE 0 END + CASE role WHEN 2 THEN 15 WHEN 1 THEN 5 ELSE 0 END + CASE WHEN name > 0 THEN 5 ELSE 0 END AS DOUBLE) / 100), 4) AS extraction, score >= 0.55 AS kept FROM s""",
-    "identity_states": """SELECT CASE WHEN c_custkey % 13 = 0 THEN 'INVALID' WHEN c_custkey % 6 = 0 THEN 'VERIFIED' WHEN c_custkey % 3 >= 2 THEN 'RESOLVABLE' WHEN c_custkey % 3 + c_custkey % 2 >= 1 THEN 'PARTIAL' ELSE 'INVALID' END AS state, count(*) AS n FROM customer GROUP BY 1""",
+    "identity_states": """WITH k AS (SELECT c_custkey AS k FROM customer), s AS (SELECT CASE WHEN k % 13 = 0 THEN 100 WHEN k % 4 = 0 THEN 0 WHEN k % 3 = 0 AND k % 5 < 3 THEN 85 WHEN k % 7 = 0 OR k % 11 = 0 THEN 75 WHEN k % 2 = 1 THEN 55 ELSE 0 END AS c FROM k)
+SELECT CASE WHEN c = 100 THEN 'VERIFIED' WHEN c >= 75 THEN 'RESOLVABLE' WHEN c = 55 THEN 'PARTIAL' ELSE 'INVALID' END AS state, CAST(c AS DOUBLE) / 100 AS confidence, count(*) AS n FROM s GROUP BY 1, 2""",
 }

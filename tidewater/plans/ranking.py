@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.text import banded
 from tidewater.operators import bibliography as bib
 from tidewater.operators import matching, sequences
+from tidewater.storage import checkpointed
 from tidewater.plans.tables import ALIASES, FAVOURED, FAVOURED_SQL, PAPERS_SQL, TAXONOMY_SQL, WEIGHTS_SQL, papers, table, taxonomy, weights
 
 PAPERS_CAP = 60.0
@@ -15,6 +16,7 @@ PAPERS_CAP = 60.0
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each person with all parts of both scores."""
+    # Both uses of the papers read one exchange by person.
     rows = papers(spark, sf_dir)
     terms = taxonomy(spark)
     areas = rows.select("person", "title").distinct().join(F.broadcast(terms), F.col("title").contains(F.col("term"))).groupBy("person").agg(F.countDistinct("category").alias("areas"))
@@ -136,7 +138,7 @@ def favoured_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def legacy_vs_new_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = scores(spark, sf_dir).select("person", "overall", "legacy")
+    both = checkpointed(scores(spark, sf_dir).select("person", "overall", "legacy"))
     # Both rankings number every person: by range, so that no single task sorts all of them.
     new, old = both.groupBy("overall").agg(F.count(F.lit(1)).alias("n")), both.groupBy("legacy").agg(F.count(F.lit(1)).alias("n"))
     place = lambda d, c: d.select(c, (F.sum("n").over(Window.orderBy(F.desc(c)).rowsBetween(Window.unboundedPreceding, -1))).alias("ahead"))
@@ -210,7 +212,7 @@ def cohort_top_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top100_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = scores(spark, sf_dir).select("person", "overall", "legacy")
+    both = checkpointed(scores(spark, sf_dir).select("person", "overall", "legacy"))
     new = bib.ranked(both, [F.desc("overall"), F.asc("person")], 100).select("person", F.col("rank").alias("new_rank"))
     old = bib.ranked(both, [F.desc("legacy"), F.asc("person")], 100).select("person", F.col("rank").alias("old_rank"))
     out = old.join(new, "person", "full_outer")

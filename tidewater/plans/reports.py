@@ -27,14 +27,14 @@ def role_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "supplier").select(F.round("s_acctbal").cast("long").alias("v"))
     return rows.agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("v").cast("double") / F.count(F.lit(1)), 4).alias("mean"), sequences.upper_median(F.col("v")).alias("upper_median"), F.min("v").alias("low"), F.max("v").alias("high"),
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("v").cast("double") / F.count(F.lit(1)), 4).alias("mean"), sequences.upper_median("v").alias("upper_median"), F.min("v").alias("low"), F.max("v").alias("high"),
         _if("v >= 8000").alias("at_8000"), _if("v >= 6000 and v < 8000").alias("at_6000"), _if("v >= 4000 and v < 6000").alias("at_4000"), _if("v < 4000").alias("below"),
     )
 
 
 def upper_vs_true_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select("o_orderpriority", F.floor("o_totalprice").alias("v"))
-    return rows.groupBy("o_orderpriority").agg(sequences.upper_median(F.col("v")).alias("upper_median"), F.percentile("v", F.lit(0.5)).alias("median"))
+    return rows.groupBy("o_orderpriority").agg(sequences.upper_median("v").alias("upper_median"), F.percentile("v", F.lit(0.5)).alias("median"))
 
 
 def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +214,7 @@ QUERIES = {f.__name__: f for f in (
 )}
 
 _LADDER_SQL = "CASE " + " ".join(f"WHEN {t} THEN '{n}'" for n, t in _LADDER) + " ELSE 'ok' END"
-_BFS_SQL = """WITH RECURSIVE near AS (SELECT c_custkey + 1000 AS a, CAST(c_nationkey AS BIGINT) AS b FROM customer WHERE c_custkey < 200),
+_BFS_SQL = """WITH RECURSIVE near AS (SELECT c_custkey + 1000 AS a, CAST(c_nationkey AS BIGINT) AS b FROM customer),
 edges AS (SELECT a AS src, b AS dst FROM near UNION SELECT b, a FROM near),
 walk(root, node, depth) AS (SELECT r, r, 0 FROM (VALUES (CAST(1000 AS BIGINT)), (CAST(1001 AS BIGINT)), (CAST(1002 AS BIGINT))) v(r) UNION SELECT root, dst, depth + 1 FROM walk JOIN edges ON node = src WHERE depth < 3),
 found AS (SELECT root, node, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY 1, 2)"""
@@ -250,12 +250,12 @@ r AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY event_id) AS run
     "carry_forward_section": "SELECT conv_id, turn, role, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section FROM conversations",
     "invariants": """SELECT 'line_without_order' AS name, count(*) AS violations FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) UNION ALL SELECT 'null_field', count(*) FROM orders WHERE o_custkey IS NULL OR o_orderdate IS NULL
 UNION ALL SELECT 'order_key_twice', count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'value_out_of_range', count(*) FROM lineitem WHERE l_quantity <= 0 OR l_discount < 0 OR l_discount > 1""",
-    "key_prefix_freq": "SELECT split_part(p_name, ' ', 1) AS prefix, count(*) AS n FROM (SELECT * FROM part ORDER BY p_partkey LIMIT 500) GROUP BY 1",
-    "multi_key_review_sort": "SELECT CAST(row_number() OVER (ORDER BY (c_acctbal < 0) DESC, (c_nationkey < 5), c_nationkey, lower(c_name)) AS INTEGER) AS rank, c_custkey, c_acctbal < 0 AS broke, c_nationkey < 5 AS near, c_nationkey FROM customer QUALIFY rank <= 200",
+    "key_prefix_freq": "SELECT split_part(p_name, ' ', 1) AS prefix, count(*) AS n FROM part GROUP BY 1",
+    "multi_key_review_sort": "SELECT CAST(row_number() OVER (ORDER BY (c_acctbal < 0) DESC, (c_nationkey < 5), c_nationkey, lower(c_name), c_custkey) AS INTEGER) AS rank, c_custkey, c_acctbal < 0 AS broke, c_nationkey < 5 AS near, c_nationkey FROM customer",
     "adaptive_cap": """WITH r AS (SELECT l_orderkey, l_partkey, l_suppkey, count(*) OVER (PARTITION BY l_orderkey) AS n, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_partkey, l_suppkey, l_linenumber) AS INTEGER) AS rk FROM lineitem),
 c AS (SELECT l_orderkey, l_partkey, l_suppkey, rk, CAST(CASE WHEN n >= 7 THEN 2 WHEN n >= 4 THEN 3 ELSE n END AS INTEGER) AS cap FROM r) SELECT * FROM c WHERE rk <= cap""",
     "bounded_bfs": f"{_BFS_SQL} SELECT * FROM found",
-    "bfs_page_budget": f"{_BFS_SQL} SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY root ORDER BY depth, node) <= 10",
+    "bfs_page_budget": f"{_BFS_SQL} SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY root ORDER BY depth, node) <= 150",
     "graph_branching": "WITH o AS (SELECT l_orderkey, count(DISTINCT l_partkey) AS n FROM lineitem GROUP BY 1) SELECT count(*) AS nodes, CAST(sum(n) AS BIGINT) AS edges, round(avg(n), 4) AS mean_out, max(n) AS max_out FROM o",
     "stream_window_counts": "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS value FROM events GROUP BY 1, 2",
 }
