@@ -12,7 +12,10 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidewater.functions.text import collapsed
 
 SCHEMA = "page_id long, pos int, name string, text string, url string, email string, role string, section string, status string, layout string"
 
@@ -102,6 +105,41 @@ def section_of(label: str) -> str | None:
     return "current" if CURRENT.search(label) else None
 
 
+_DEGREE = r"(ph[.]?d[.]?|doctoral|graduate)"
+#: What a label says, in order: (pattern over lower case with single spaces, role, status).  Current ones come first, so that "former PhD
+#: students" counts as current, as do all labels that name a degree.
+SECTION_ROLES = [
+    (rf"\b(current ((ph[.]?d[.]?|doctoral|graduate|master) )?students?|{_DEGREE} students?)\b", "phd_student", "current"),
+    (r"\bmaster('?s)? students?\b", "master_student", "current"),
+    (r"\bpostdoc(toral)?( ?(researcher|fellow|associate|member)s?)?\b", "postdoc", "current"),
+    (r"\b(current ((lab|group|research) )?|(lab|group|team) )members?\b", "unknown", "current"),
+    (r"\bresearch (staff|team)\b", "research_staff", "current"),
+    (r"\bour team\b|^(current )?people ?:? ?$", "unknown", "current"),
+    (r"^(current )?students? ?:? ?$", "phd_student", "current"),
+    (r"^researchers? ?:? ?$", "unknown", "current"),
+    (r"^postdocs? ?:? ?$", "postdoc", "current"),
+    (r"^collaborators? ?:? ?$", "unknown", "current"),
+    (r"^(former members?|alumni) ?:? ?$", "alumni", "alumni"),
+    (r"\b(people|student) directory\b", "unknown", "current"),
+    (r"\baffiliated students?\b", "phd_student", "current"),
+    (r"\bvisitors?\b", "visitor", "current"),
+    (r"^(current )?faculty ?:? ?$", "professor", "current"),
+    (r"\bgradu(ated?|al) (ph[.]?d[.]? )?students?\b|\b(past|former) (member|student|postdoc|researcher)s?\b|\balumni?\b|\bprevious (member|student)s?\b", "alumni", "alumni"),
+]
+#: Labels are short; a longer text is no label.
+LABEL = 350
+
+
+def section_role(label: Column) -> tuple[Column, Column]:
+    """(role, status) that a label of a section says; both null where it says nothing or is too long to be one."""
+    said = collapsed(label)
+    role, status = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for pattern, r, s in reversed(SECTION_ROLES):
+        role, status = F.when(said.rlike(pattern), r).otherwise(role), F.when(said.rlike(pattern), s).otherwise(status)
+    short = F.length(label) <= LABEL
+    return F.when(short, role), F.when(short, status)
+
+
 def looks_like_name(text: str) -> bool:
     return 4 <= len(text) <= 50 and bool(NAME.match(text)) and not text.isupper() and sum(w[:1].isupper() for w in text.split()) >= 2 and not (CURRENT.search(text) or OTHER.search(text) or FORMER.search(text))
 

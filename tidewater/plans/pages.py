@@ -84,8 +84,46 @@ def page_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages(spark, sf_dir).select("page_id", kind.alias("kind"), score.alias("score"))
 
 
+_LABELS = [
+    ("Former PhD students", "phd_student", "current"), ("MASTER'S students", "master_student", "current"), ("Postdoctoral  fellows", "postdoc", "current"), ("Lab members", "unknown", "current"), ("Research staff", "research_staff", "current"),
+    ("People:", "unknown", "current"), ("Students", "phd_student", "current"), ("Alumni :", "alumni", "alumni"), ("Visitors of the year", "visitor", "current"), ("Faculty", "professor", "current"), ("Past members", "alumni", "alumni"), ("Publications", None, None), ("alumni " + "x" * 350, None, None),
+]
+
+
+def section_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as labels of sections."""
+    labels = F.array(*[F.lit(x) for x, _, _ in _LABELS])
+    role, status = members.section_role(F.get(labels, (F.col("p_partkey") % len(_LABELS)).cast("int")))
+    return table(spark, sf_dir, "part").groupBy(role.alias("role"), status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
+#: Customers on one page.
+_ON_PAGE = 40
+
+
+def roster_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that list customers: students first, then alumni, as lists, tables, heading cards or definition lists."""
+    k = F.col("c_custkey")
+    page, former = F.floor(k / _ON_PAGE).cast("long"), k % _ON_PAGE >= 30
+    code = F.translate(F.lpad(k.cast("string"), 7, "0"), "0123456789", "abcdefghij")
+    name = F.concat(F.initcap(code), F.lit(" "), F.initcap(F.reverse(code)))
+    said = F.when(former, "alumnus").otherwise("PhD student")
+    part = lambda *x: F.concat(*[F.lit(y) if isinstance(y, str) else y for y in x])
+    item = (
+        F.when(page % 4 == 0, part('<li><a href="/p/', k.cast("string"), '">', name, "</a>, ", said, "</li>")).when(page % 4 == 1, part("<tr><td>", name, "</td><td>", said, "</td></tr>"))
+        .when(page % 4 == 2, part("<h3>", name, "</h3><p>", said, "</p>")).otherwise(part("<dt>", name, "</dt><dd>", said, "</dd>"))
+    )
+    rows = table(spark, sf_dir, "customer").select(page.alias("page_id"), F.struct(k.alias("k"), former.alias("former"), item.alias("item")).alias("e"))
+    # A page has at most _ON_PAGE entries.
+    each = rows.groupBy("page_id").agg(F.sort_array(F.collect_list("e")).alias("es"))
+    tag = F.element_at(F.array(*map(F.lit, ("ul", "table", "div", "dl"))), (F.col("page_id") % 4 + 1).cast("int"))
+    listed = lambda test: F.array_join(F.transform(F.filter("es", test), lambda e: e["item"]), "")
+    html = part("<h2>PhD students</h2><", tag, ">", listed(lambda e: ~e["former"]), "</", tag, "><h2>Alumni</h2><", tag, ">", listed(lambda e: e["former"]), "</", tag, "><h2>Publications</h2><ul><li>Ann Lee, A paper</li></ul>")
+    return each.select("page_id", F.lit("http://h.org/").alias("url"), html.alias("html"))
+
+
 def page_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return members.members(_pages(spark, sf_dir)).select("page_id", "pos", "name", "section", "layout")
+    return members.members(roster_pages(spark, sf_dir)).select("page_id", "pos", "name", "section", "status", "role", "url", "layout")
 
 
 def person_validation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +146,7 @@ def identity_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     url_canonical_key, url_cache_id, page_title, page_visible_text_ratio, host_page_counts, denylist_first_allowed, email_extraction, page_links, link_dedup_counts, link_slot_classification, candidate_scoring, nearby_pages, lab_links, page_classes,
-    page_members, person_validation_scores, identity_states,
+    section_labels, page_members, person_validation_scores, identity_states,
 )}
 
 _HOST = "lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)', 1))"
@@ -128,6 +166,11 @@ m AS (SELECT page_id, {", ".join(f"regexp_matches(t, '(^| ){x}( |$)') AS is_{x}"
 s AS (SELECT page_id, {", ".join(f"CASE WHEN is_{a} THEN CAST(0.3 AS DOUBLE) ELSE 0 END + CASE WHEN is_{b} THEN CAST(0.2 AS DOUBLE) ELSE 0 END AS {n}" for n, a, b in (("article", "the", "and"), ("listing", "der", "die"), ("profile", "la", "de")))} FROM m)
 SELECT page_id, CASE WHEN greatest(article, listing, profile) < 0.4 THEN 'unknown' WHEN article = greatest(article, listing, profile) THEN 'article' WHEN listing = greatest(article, listing, profile) THEN 'listing' ELSE 'profile' END AS kind,
   round(greatest(article, listing, profile), 4) AS score FROM s""",
+    "section_labels": "WITH l(i, role, status) AS (VALUES " + ", ".join(f"({i}, " + (f"'{r}', '{s}')" if r else "NULL, NULL)") for i, (_, r, s) in enumerate(_LABELS)) + f") SELECT role, status, count(*) AS n FROM part JOIN l ON p_partkey % {len(_LABELS)} = i GROUP BY 1, 2",
+    "page_members": f"""WITH c AS (SELECT c_custkey AS k, c_custkey // {_ON_PAGE} AS page_id, c_custkey % {_ON_PAGE} >= 30 AS former, translate(lpad(CAST(c_custkey AS VARCHAR), 7, '0'), '0123456789', 'abcdefghij') AS code FROM customer)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS INTEGER) AS pos, upper(code[1]) || code[2:] || ' ' || upper(reverse(code)[1]) || reverse(code)[2:] AS name, CASE WHEN former THEN 'Alumni' ELSE 'PhD students' END AS section,
+  CASE WHEN former THEN 'former' ELSE 'current' END AS status, CASE WHEN page_id % 4 = 3 THEN NULL WHEN former THEN 'alumnus' ELSE 'phd student' END AS role, CASE WHEN page_id % 4 = 0 THEN 'http://h.org/p/' || k END AS url,
+  CASE page_id % 4 WHEN 0 THEN 'list' WHEN 1 THEN 'table' WHEN 2 THEN 'heading' ELSE 'definition' END AS layout FROM c""",
     "person_validation_scores": """WITH r AS (SELECT c_custkey, c_custkey % 3 AS name, c_custkey % 5 <> 0 AS inside, c_custkey % 2 = 0 AS sec, c_custkey % 5 % 3 AS role, c_custkey % 7 = 0 AS own, c_custkey % 4 = 0 AS url, c_custkey % 3 = 1 AS email, c_custkey % 11 = 0 AS bad FROM customer),
 s AS (SELECT *, CASE WHEN bad OR name = 0 OR NOT inside OR NOT (own OR email OR role > 0) THEN CAST(0 AS DOUBLE) ELSE round(CAST((CASE name WHEN 2 THEN 25 ELSE 10 END + 25 + CASE role WHEN 2 THEN 20 WHEN 1 THEN 10 ELSE 0 END
   + greatest(CASE WHEN own THEN 25 WHEN url THEN 8 ELSE 0 END, CASE WHEN email THEN 15 ELSE 0 END) + CASE WHEN sec THEN 5 ELSE 0 END) AS DOUBLE) / 100, 4) END AS score FROM r)
