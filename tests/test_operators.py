@@ -74,8 +74,8 @@ def test_links_slots_and_recovery(spark):
     pages = spark.createDataFrame([(1, "http://ex.org/home", HOME), (2, "http://ex.org/none", None), (3, None, "")], "page_id long, url string, html string")
     rows = web.links(pages).orderBy("pos").collect()
     assert [(r["anchor"], r["url"], r["side"]) for r in rows] == [("My Lab", "http://ex.org/lab/", True), ("people", "http://ex.org/ann/people.html", False), ("others", "http://other.org/", False), ("People", "http://ex.org/ann/PEOPLE.html#x", False)]
-    assert web.distinct_links(web.links(pages)).count() == 3
-    slots = spark.createDataFrame([("people", "people", "anchor"), ("people", "people", "path"), ("lab", "lab", "anchor")], "slot string, token string, kind string")
+    assert web.distinct_links(web.links(pages)).count() == 4
+    slots = [("people", "people", "anchor"), ("people", "people", "path"), ("lab", "lab", "anchor")]
     got = {r["slot"]: (r["pos"], r["score"]) for r in web.slots(web.links(pages), slots).collect()}
     assert got == {"people": (1, 0.965), "lab": (0, 0.585)}
     facts = web.parsed(pages).withColumn("final_url", F.lit(None).cast("string"))

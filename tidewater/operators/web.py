@@ -120,8 +120,8 @@ def links(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def distinct_links(rows: DataFrame, key: str = "page_id") -> DataFrame:
-    """The first link of each (canonical url, anchor in lower case) of a page."""
-    w = Window.partitionBy(key, url_key(F.col("url")), F.lower("anchor")).orderBy("pos")
+    """The first link of each (absolute url, anchor in lower case) of a page."""
+    w = Window.partitionBy(key, "url", F.lower("anchor")).orderBy("pos")
     return rows.withColumn("_rk", F.row_number().over(w)).where("_rk = 1").drop("_rk")
 
 
@@ -131,14 +131,20 @@ def strength(c: Column, token: Column) -> Column:
     return F.when(F.trim(padded) == token, 1.0).when(F.contains(padded, F.concat(F.lit(" "), token, F.lit(" "))), 0.9).when(F.contains(F.lower(c), token), 0.75).otherwise(0.0)
 
 
-def slots(rows: DataFrame, rules: DataFrame, key: str = "page_id", least: float = 0.35) -> DataFrame:
-    """The best link of each page for each slot: .65 of the anchor's strength and .35 of the path's, at least `least`; of equals the first.
-    The rules are (slot, token, kind) with kind anchor or path."""
-    met = rows.crossJoin(F.broadcast(rules))
-    each = met.groupBy(key, "pos", "anchor", "url", "slot").agg(F.max(F.when(F.col("kind") == "anchor", strength(F.col("anchor"), F.col("token"))).otherwise(0.0)).alias("by_anchor"), F.max(F.when(F.col("kind") == "path", strength(path(F.col("url")), F.col("token"))).otherwise(0.0)).alias("by_path"))
-    scored = each.withColumn("score", F.bround(0.65 * F.col("by_anchor") + 0.35 * F.col("by_path"), 4)).where(F.col("score") >= least)
+def slots(rows: DataFrame, rules: list[tuple[str, str, str]], key: str = "page_id", least: float = 0.35) -> DataFrame:
+    """The best link of each page for each slot: .65 of the anchor's strength (.05 more, up to 1, where the anchor
+    is the last part of the path and either has a strength) and .35 of the path's, at least `least`; of equals the first.  The rules are (slot, token, kind) with kind anchor or path;
+    they are expressions of the plan, so no join is needed."""
+    last = F.regexp_extract(F.regexp_replace(F.lower(path(F.col("url"))), "^/+|/+$", ""), "([^/]*)$", 1)
+    scored = []
+    for slot in dict.fromkeys(s for s, _, _ in rules):
+        by_anchor = F.greatest(F.lit(0.0), F.lit(0.0), *[strength(F.col("anchor"), F.lit(t)) for s, t, kind in rules if (s, kind) == (slot, "anchor")])
+        by_path = F.greatest(F.lit(0.0), F.lit(0.0), *[strength(path(F.col("url")), F.lit(t)) for s, t, kind in rules if (s, kind) == (slot, "path")])
+        by_anchor = F.when(((by_anchor > 0) | (by_path > 0)) & (F.lower("anchor") == last), F.least(F.lit(1.0), by_anchor + 0.05)).otherwise(by_anchor)
+        scored.append(F.struct(F.lit(slot).alias("slot"), F.bround(0.65 * by_anchor + 0.35 * by_path, 4).alias("score")))
+    each = rows.select(key, "pos", "anchor", "url", F.explode(F.filter(F.array(*scored), lambda x: x["score"] >= least)).alias("_s")).select(key, "pos", "anchor", "url", "_s.slot", "_s.score")
     w = Window.partitionBy(key, "slot").orderBy(F.desc("score"), "pos")
-    return scored.withColumn("_rk", F.row_number().over(w)).where("_rk = 1").select(key, "slot", "pos", "anchor", "url", "score")
+    return each.withColumn("_rk", F.row_number().over(w)).where("_rk = 1").select(key, "slot", "pos", "anchor", "url", "score")
 
 
 def recovered(facts: DataFrame, key: str = "page_id", moved: str = "(?i)(has|have) moved|new (home ?page|address|site)") -> DataFrame:

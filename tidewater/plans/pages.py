@@ -57,12 +57,12 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_dedup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = web.links(_pages(spark, sf_dir))
-    before = rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("links"), F.countDistinct(text.url_key(F.col("url")), F.lower("anchor")).alias("kept"))
+    before = rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("links"), F.countDistinct("url", F.lower("anchor")).alias("kept"))
     return before.withColumn("dropped", F.col("links") - F.col("kept"))
 
 
 def link_slot_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return web.slots(web.links(_pages(spark, sf_dir)), spark.createDataFrame(SLOTS, "slot string, token string, kind string"))
+    return web.slots(web.links(_pages(spark, sf_dir)), SLOTS)
 
 
 def candidate_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
