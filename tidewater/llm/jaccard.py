@@ -189,7 +189,8 @@ def _packer(n: int, t: float, weights: np.ndarray, many_buckets: np.ndarray, fir
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # What a counter has from chance is no reason to split.
         noise = 2 * int(weights.mean())
-        for batch in batches:
+        # Segments take many times a text's bytes, so they go out some rows at a time.
+        for batch in (b.slice(start, 2048) for b in batches for start in range(0, len(b), 2048)):
             with np.errstate(over="ignore"):
                 sids, where, firsts, sizes, bits, words, own, tiles = [], [], [], [], [], [], [], []
                 for _, grams in _grams(batch, n):
