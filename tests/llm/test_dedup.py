@@ -160,7 +160,7 @@ def test_leaks_against_brute_force(spark):
 def test_items_in_groups_and_decontamination(spark, limit):
     item = "this is the one question that every model must never have seen before"
     groups = list(decontaminate.item_groups(spark.createDataFrame([(1, item), (2, item + " again"), (3, "x")], "item_id long, text string"), limit))
-    assert sum(map(len, groups)) == 2 and len(groups) == (2 if limit == 1 else 1)
+    assert sum(map(len, groups)) == 3 and len(groups) == (3 if limit == 1 else 1)
     docs = documents(spark, ["before. " + item.upper() + " after", "nothing of the kind", None, ""])
     out = decontaminate.decontaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert out.columns == docs.columns and sorted(r["doc_id"] for r in out.collect()) == [1, 2, 3]

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import tidy, tidy_group, tidy_groups
+from tidewater.llm.common import modest, tidy, tidy_group, tidy_groups
 from tidewater.llm.hashing import P, P_INV, U, mix
 
 #: The vocabulary, read by the driver alone, and the pattern that cuts texts into words, which `_words` follows without running it.
@@ -552,7 +552,7 @@ def encoded(docs: DataFrame, path: str = VOCABULARY, block: int = BLOCK_CHARS) -
     ordinary text.  Other columns are ignored.  Within a block words are told apart by hashes of 64 bits.
     """
     pieces, places = vocabulary(path), _places(docs)
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    text = modest(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = text.mapInArrow(tidy(_cutter(places, block)), PART).repartition(places, "place")
     words = parts.groupBy("place").applyInArrow(tidy_group(_distinct), DISTINCT)
     ids = words.select(merged(pieces)(F.col("words")).alias("ids"), "refs", "blocks", "targets", "counts", "bucket")

@@ -33,6 +33,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows, and bytes of them, that go to a Python worker at once at most.
+BATCH_ROWS = 2_000
+BATCH_BYTES = 16 << 20
+
+
+def modest(df: DataFrame) -> DataFrame:
+    """`df`, in a session whose batches for Python workers are small: texts are long, and a batch is held by the executor and the worker."""
+    conf = df.sparkSession.conf
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(name, None)
+        if now is not None and now.isdigit() and not 0 < int(now) <= most:
+            conf.set(name, str(most))
+    return df
+
+
 def give_back() -> None:
     """Returns to the system what the allocators keep for reuse: workers live on and serve other stages, and it would count against the executor."""
     gc.collect()

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import tidy, without_ids
+from tidewater.llm.common import modest, tidy, without_ids
 from tidewater.llm.hashing import WORD_BYTE, buffers
 
 #: Edits allowed for each byte of a normalised item; one whose budget is 0 must stand there as whole words.
@@ -189,7 +189,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFram
     length; rows that share a doc_id or an item_id give the least distance of any.  Other columns are ignored.  The automata are sent to
     the tasks, PASS of bounded size at a time: more items take more passes.
     """
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).where("doc_id is not null and text is not null")
+    text = modest(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).where("doc_id is not null and text is not null")
     out = None
     for groups in _some(item_groups(benchmark), PASS):
         found = text.mapInArrow(tidy(_matcher(groups, rate)), LEAKS)

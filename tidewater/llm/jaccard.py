@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import checkpointed, sized, tidy, tidy_group, tidy_groups, without_ids
+from tidewater.llm.common import checkpointed, modest, sized, tidy, tidy_group, tidy_groups, without_ids
 from tidewater.llm.hashing import U, mix, ngrams, word_hashes
 
 NGRAM = 2
@@ -333,7 +333,7 @@ def _verify(t: float):
 def set_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD, bucket: int = BUCKET_KEYS, tile: int = TILE_DOCS) -> tuple[DataFrame, DataFrame]:
     """Versions (doc_id, sid, n), one for each distinct doc_id and set, sid null without n-grams; and pairs of different sets (sid_a, sid_b, jaccard, shared)."""
     spark = docs.sparkSession
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).where("doc_id is not null")
+    text = modest(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).where("doc_id is not null")
     signs = checkpointed(text.mapInArrow(tidy(_signatures(ngram)), SIGNATURE))
     weights = np.zeros(SLOTS, np.int64)
     for slot, often in signs.where("slots is not null").select(F.posexplode("slots")).where("col > 0").groupBy("pos").agg(F.sum("col")).collect():

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import fresh, tidy
+from tidewater.llm.common import fresh, modest, tidy
 from tidewater.llm.hashing import buffers
 
 #: Hidden units of each direction; bytes that are labelled at once, and those before and behind that are read along.
@@ -32,7 +32,7 @@ BATCH = 256
 RATE = 0.02
 #: The label of bytes that belong to no language, and the mean probability of it at which a document is rejected.
 NOISE = "und"
-REJECTED = 0.75
+REJECTED = 0.6
 #: The code that fills windows up: it leaves a layer in its first state.
 PAD = 256
 #: Windows that the network reads side by side.
@@ -170,11 +170,14 @@ def windows(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _noise(rng: np.random.Generator, n: int) -> bytes:
-    """Bytes that belong to no language: digits, hexadecimal and base-64 codes, symbols, any bytes, with white space between."""
+    """Bytes that belong to no language: digits, hexadecimal and base-64 codes, symbols, any bytes, one byte again and again, in short and long
+    runs with white space between."""
     sets = [np.frombuffer(x, np.uint8) for x in (b"0123456789", b"0123456789abcdef", b"0123456789abcdefghijklmnopqrstuvwxyz+/", b"!#$%&*+-./:;<=>?@^_~|()[]{}", bytes(range(33, 256)))]
     out, size = [], 0
     while size < n:
-        out.append(rng.choice(sets[rng.integers(0, len(sets))], rng.integers(1, 25)).tobytes())
+        kind = sets[rng.integers(0, len(sets))]
+        kind = kind[rng.integers(0, len(kind))][None] if rng.random() < 0.2 else kind
+        out.append(rng.choice(kind, rng.integers(1, 25 if rng.random() < 0.5 else 7)).tobytes())
         size += len(out[-1]) + 1
     return b" ".join(out)
 
@@ -259,7 +262,7 @@ def identified(docs: DataFrame, model: Model | None) -> DataFrame:
     language in order counts.  Without a model every lang is null and every row is kept.  Texts may have any length.  Rows are judged
     one by one, so repeated rows and null ids give a row each; other columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").cast("binary").alias("raw"))
+    rows = modest(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").cast("binary").alias("raw"))
     if model is None:
         return rows.select("doc_id", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("prob"), F.lit(0).cast("long").alias("positions"), F.lit(0).cast("long").alias("own"), F.lit(True).alias("keep"))
     return rows.mapInArrow(tidy(_labeller(model)), RESULT)
@@ -285,7 +288,7 @@ def languages_kept(docs: DataFrame, model: Model | None) -> DataFrame:
         for verdict in label(texts()):
             yield held.pop().drop_columns([raw]).filter(verdict.column("keep"))
 
-    return docs.withColumn(raw, F.lower("text").cast("binary")).mapInArrow(tidy(run), docs.schema)
+    return modest(docs).withColumn(raw, F.lower("text").cast("binary")).mapInArrow(tidy(run), docs.schema)
 
 
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
