@@ -42,8 +42,8 @@ def modest(df: DataFrame) -> DataFrame:
     """`df`, in a session whose batches for Python workers are small: texts are long, and a batch is held by the executor and the worker."""
     conf = df.sparkSession.conf
     for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        now = conf.get(name, None)
-        if now is not None and now.isdigit() and not 0 < int(now) <= most:
+        now = int(conf.get(name).rstrip("bB"))
+        if now <= 0 or now > most:
             conf.set(name, str(most))
     return df
 
