@@ -10,6 +10,7 @@ from tidewater.operators import bibliography as bib
 from tidewater.operators import graph, matching, members, sequences, web
 from tidewater.sources import bibliography as source
 from tidewater.sources import sinks
+from tidewater.storage import blocks
 from tidewater.streaming import windows
 
 
@@ -172,3 +173,18 @@ def test_stream_gives_what_the_batch_gives(spark, tmp_path):
         q.processAllAvailable()
         q.stop()
         assert sorted(map(tuple, spark.table(name).collect())) == sorted(map(tuple, make(events).collect()))
+
+
+def test_affinity_counts_aliases(spark):
+    papers = spark.createDataFrame([(1, "SOSP"), (1, "Proc. Symposium on Operating Systems Principles 2020"), (1, "else"), (1, None), (2, "sospx")], "person int, venue string")
+    aliases = [("SOSP", ["symposium on operating systems principles"])]
+    plain = {r["person"]: r["affinity"] for r in bib.affinity(papers, ["SOSP"]).collect()}
+    wide = {r["person"]: r["affinity"] for r in bib.affinity(papers, ["SOSP"], aliases=aliases).collect()}
+    assert plain == {1: 0.25, 2: 0.0} and wide == {1: 0.5, 2: 0.0}
+
+
+def test_blocks_hold_every_row_once(spark):
+    rows = spark.createDataFrame([("a", f"w{i % 90}") for i in range(100)], "category string, term string")
+    parts = blocks(rows, 512, 4096)
+    assert len(parts) == 13
+    assert sorted(r["term"] for p in parts for r in p.collect()) == sorted(r["term"] for r in rows.collect())

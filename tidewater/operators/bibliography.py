@@ -5,9 +5,14 @@ A paper row is (person, paper, venue, year, title); each function takes and retu
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.operators.roster import alias_match
+from tidewater.storage import blocks
+
 
 def exploded_authors(papers: DataFrame, authors: str = "authors") -> DataFrame:
     """A row for each author of each paper; `authors` is an array of structs (pid, name)."""
@@ -34,25 +39,27 @@ def activity(papers: DataFrame, key: str = "person", cap: float = 5.0, points: f
 
 def weighted_venues(papers: DataFrame, weights: DataFrame, key: str = "person", default: float = 1.0, caps: dict[str, float] | None = None) -> DataFrame:
     """Sum of venue weights (venue, weight), a default for the others, under each named cap."""
-    joined = papers.join(F.broadcast(weights), "venue", "left")
+    joined = papers.join(weights, "venue", "left")
     total = F.sum(F.coalesce("weight", F.lit(default)))
     return joined.groupBy(key).agg(total.alias("raw"), *(F.least(total, F.lit(cap)).alias(name) for name, cap in (caps or {"venue_score": 25.0}).items()))
 
 
-def affinity(papers: DataFrame, favoured: list[str], key: str = "person") -> DataFrame:
-    """The share of papers in favoured venues."""
-    hits = F.count_if(F.col("venue").isin(*favoured))
+def affinity(papers: DataFrame, favoured: list[str], key: str = "person", aliases: list[tuple[str, list[str]]] | None = None) -> DataFrame:
+    """The share of papers in favoured venues; with `aliases`, of papers whose venue is one by `roster.alias_match`."""
+    venue = alias_match(F.col("venue"), aliases) if aliases else F.col("venue")
+    hits = F.count_if(venue.isin(*favoured))
     return papers.groupBy(key).agg(hits.alias("hits"), F.count(F.lit(1)).alias("papers"), F.round(hits.cast("double") / F.count(F.lit(1)), 4).alias("affinity"))
 
 
 def keyword_evidence(titles: DataFrame, taxonomy: DataFrame, weight: float = 3.0) -> DataFrame:
     """A row for each keyword of the taxonomy (category, term) that a title contains."""
-    return titles.join(F.broadcast(taxonomy), F.lower("title").contains(F.col("term"))).withColumn("weight", F.lit(weight))
+    found = [titles.join(some, F.lower("title").contains(F.col("term"))) for some in blocks(taxonomy, 512)]
+    return reduce(DataFrame.unionByName, found).withColumn("weight", F.lit(weight))
 
 
 def venue_evidence(papers: DataFrame, taxonomy: DataFrame, weight: float = 2.0) -> DataFrame:
     """A row for each paper whose venue a taxonomy (category, venue_term) names."""
-    return papers.join(F.broadcast(taxonomy), F.upper("venue") == F.upper("venue_term")).drop("venue_term").withColumn("weight", F.lit(weight))
+    return papers.join(taxonomy, F.upper("venue") == F.upper("venue_term")).drop("venue_term").withColumn("weight", F.lit(weight))
 
 
 def profile(evidence: DataFrame, key: str) -> DataFrame:

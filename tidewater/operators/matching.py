@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.text import affiliation_key, collapsed
+from tidewater.storage import blocks
 
 
 def rewritten(rows: DataFrame, column: str, aliases: dict[str, str]) -> DataFrame:
@@ -24,8 +27,9 @@ def gazetteer_match(rows: DataFrame, gazetteer: DataFrame, key: str, raw: str) -
     names = gazetteer.select("canonical", "country", "ord", affiliation_key(F.col("canonical")).alias("_name"), F.lit(0).alias("_alias"))
     others = gazetteer.select("canonical", "country", "ord", F.explode("aliases").alias("_a")).select("canonical", "country", "ord", affiliation_key(F.col("_a")).alias("_name"), F.lit(1).alias("_alias"))
     every = names.unionByName(others).where("_name <> ''")
-    equal = segments.join(F.broadcast(every), F.col("_segment") == F.col("_name")).select(key, "canonical", "country", F.struct(F.col("_alias").alias("tier"), F.col("_pos").alias("pos"), "ord").alias("_o"), F.when(F.col("_alias") == 0, 1.0).otherwise(0.85).alias("confidence"))
-    inside = text.join(F.broadcast(every.where(F.length("_name") >= 5)), F.col("_full").contains(F.col("_name"))).select(key, "canonical", "country", F.struct((F.col("_alias") + 2).alias("tier"), F.lit(0).alias("pos"), "ord").alias("_o"), F.lit(0.6).alias("confidence"))
+    equal = segments.join(every, F.col("_segment") == F.col("_name")).select(key, "canonical", "country", F.struct(F.col("_alias").alias("tier"), F.col("_pos").alias("pos"), "ord").alias("_o"), F.when(F.col("_alias") == 0, 1.0).otherwise(0.85).alias("confidence"))
+    within = [text.join(some, F.col("_full").contains(F.col("_name"))) for some in blocks(every.where(F.length("_name") >= 5), 512)]
+    inside = reduce(DataFrame.unionByName, within).select(key, "canonical", "country", F.struct((F.col("_alias") + 2).alias("tier"), F.lit(0).alias("pos"), "ord").alias("_o"), F.lit(0.6).alias("confidence"))
     won = equal.unionByName(inside).groupBy(key).agg(F.min_by(F.struct("canonical", "country", "confidence"), "_o").alias("_m"))
     return text.drop("_full").join(won, key, "left").select(key, raw, F.col("_m.canonical").alias("canonical"), F.col("_m.country").alias("country"), F.coalesce("_m.confidence", F.lit(0.0)).alias("confidence"))
 

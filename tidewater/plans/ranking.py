@@ -62,7 +62,7 @@ def venue_alias_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def venue_year_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = spark.createDataFrame([("Brand#1", 1996), ("Brand#1", 1997), ("Brand#12", 1998)], "venue string, year int")
-    return papers(spark, sf_dir).join(F.broadcast(wanted), ["venue", "year"], "left_semi").select("person", "paper", "venue", "year")
+    return papers(spark, sf_dir).join(wanted, ["venue", "year"], "left_semi").select("person", "paper", "venue", "year")
 
 
 def person_paper_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,8 +165,8 @@ def affiliation_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def affiliation_unmatched_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     known = spark.createDataFrame([(f"NATION_{i}",) for i in range(0, 20)], "n_name string")
-    missed = nation.join(F.broadcast(known), "n_name", "left_anti")
-    return table(spark, sf_dir, "customer").join(F.broadcast(missed), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(F.count(F.lit(1)).alias("n"))
+    missed = nation.join(known, "n_name", "left_anti")
+    return table(spark, sf_dir, "customer").join(missed, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(F.count(F.lit(1)).alias("n"))
 
 
 def region_filter_top100(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,3 +31,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """`df`, marked for broadcast if its rows, counted, of at most `row_bytes` each are within the limit; otherwise as it is."""
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
+def blocks(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> list[DataFrame]:
+    """`df` in parts by hash, each marked for broadcast and of about `limit` bytes at most if its rows have at most `row_bytes`: for joins
+    on conditions that only a broadcast can serve.  Together the parts hold every row once."""
+    n = max(1, -(-df.count() * row_bytes // limit))
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(n))
+    return [F.broadcast(df.where(part == i) if n > 1 else df) for i in range(n)]
