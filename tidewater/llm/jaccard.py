@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import checkpointed, modest, sized, tidy, tidy_group, tidy_groups, without_ids
+from tidewater.llm.common import checkpointed, modest, sized, tidy, tidy_groups, without_ids
 from tidewater.llm.hashing import U, mix, ngrams, word_hashes
 
 NGRAM = 2
@@ -38,6 +38,12 @@ SLOTS = 1 << 16
 #: Segments of one band in one group of the join on average, and documents that may share one before they are split into tiles.
 BUCKET_KEYS = 2_000_000
 TILE_DOCS = 200_000
+#: Segments that a task packs at a time, and of those that meet in a bucket, how many are sorted and paired at a time; pairs at a time, and sets
+#: that a task remembers to send each once.  They bound a worker's memory and change no result.
+PACK_KEYS = 400_000
+MEET_KEYS = 250_000
+MEET_PAIRS = 1 << 17
+SEEN_SETS = 1 << 16
 #: First segments of each set that tell whether a pair has met before.
 FIRST = 2
 #: Minwise hashes of a set of which one bit each is kept.
@@ -183,47 +189,70 @@ def lanes(bands: list[tuple[int, int]], t: float, size: int) -> tuple[np.ndarray
     return many, np.cumsum(many) - many
 
 
-def _packer(n: int, t: float, weights: np.ndarray, many_buckets: np.ndarray, first_bucket: np.ndarray, tile: int):
-    """The segments of some thousand documents at a time, by the bucket in which they meet others."""
+def _packer(n: int, t: float, weights: np.ndarray, many_buckets: np.ndarray, first_bucket: np.ndarray, tile: int, limit: int = PACK_KEYS):
+    """The segments of some documents at a time, by the bucket in which they meet others; about `limit` segments, however long the documents are."""
+
+    # What a counter has from chance is no reason to split.
+    noise = 2 * int(weights.mean())
+
+    def pack(sids: list, where: list, firsts: list, sizes: list, bits: list, words: list, tiles: list) -> pa.RecordBatch:
+        with np.errstate(over="ignore"):
+            sid, space, first, size, bit = np.array(sids, U), np.array(where, np.uint8), np.stack(firsts), np.array(sizes, np.int32), np.stack(bits)
+            who = np.repeat(np.arange(len(words), dtype=np.int32), [len(w) for w in words])
+            key, many = np.concatenate(words), np.concatenate(tiles)
+            words.clear(), tiles.clear()
+            r = (sid[who] % many.astype(U)).astype(np.uint8)
+            # A segment that very many share goes to a tile for each other part of its documents.
+            if many.max() > 1:
+                again = np.repeat(np.arange(len(key)), many)
+                other = (np.arange(len(again)) - np.repeat(np.cumsum(many, dtype=np.int64) - many, many)).astype(np.uint8)
+                key, who, many, r = key[again], who[again], many[again], r[again]
+                del again
+            else:
+                other = r
+            low, high = np.minimum(r, other).astype(U), np.maximum(r, other).astype(U)
+            code = (key & U((1 << 40) - 1)) << U(24) | many.astype(U) << U(16) | low << U(8) | high
+            band = np.minimum(space[who], len(many_buckets) - 1)
+            bucket = (first_bucket[band] + (mix((key >> U(40)) + (low << U(8) | high) * U(0x9FB21C651E98DF25)) % many_buckets[band].astype(U)).astype(np.int64)).astype(np.int32)
+            del key, many, r, other, low, high, band
+            order = np.lexsort((code, bucket))
+            bucket, code, who = bucket[order], code[order], who[order]
+            cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
+            out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                some, which = np.unique(who[a:b], return_inverse=True)
+                which = pa.compress(which.astype(np.uint16 if len(some) < 65536 else np.uint32).tobytes(), "zstd", asbytes=True)
+                for column, value in zip(out, (int(bucket[a]), _bytes(np.diff(code[a:b], prepend=U(0))), which, sid[some].tobytes(), space[some].tobytes(), first[some].tobytes(), size[some].tobytes(), bit[some].tobytes()), strict=True):
+                    column.append(value)
+        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:])], ["bucket", "codes", "own", "sids", "spaces", "firsts", "sizes", "bits"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # What a counter has from chance is no reason to split.
-        noise = 2 * int(weights.mean())
-        # Segments take many times a text's bytes, so they go out some rows at a time.
-        for batch in (b.slice(start, 2048) for b in batches for start in range(0, len(b), 2048)):
-            with np.errstate(over="ignore"):
-                sids, where, firsts, sizes, bits, words, own, tiles = [], [], [], [], [], [], [], []
-                for _, grams in _grams(batch, n):
-                    sid, bit = set_id(grams), minwise(grams)
+        held: tuple[list, ...] = ([], [], [], [], [], [], [])
+        seen: set[int] = set()
+        segments = 0
+        for batch in batches:
+            for _, grams in _grams(batch, n):
+                with np.errstate(over="ignore"):
+                    sid = set_id(grams)
+                    # Equal sets have equal segments: one of each that a task has met lately is enough.
+                    if int(sid) in seen:
+                        continue
+                    if len(seen) >= SEEN_SETS:
+                        seen.clear()
+                    seen.add(int(sid))
+                    bit = minwise(grams)
                     for space, key, rare in keys(grams, t, weights):
                         head = np.zeros(FIRST, np.uint32)
                         head[: len(key[:FIRST])] = key[:FIRST] & LOW
-                        own.append(np.full(len(key), len(sids), np.int64))
-                        words.append(key), tiles.append(np.clip((rare.astype(np.int64) - noise) // tile + 1, 1, 255))
-                        sids.append(sid), where.append(space), firsts.append(head), sizes.append(len(grams)), bits.append(bit)
-                if not sids:
-                    continue
-                sid, space, first, size, bit = np.array(sids, U), np.array(where, np.uint8), np.stack(firsts), np.array(sizes, np.int32), np.stack(bits)
-                key, who, many = np.concatenate(words), np.concatenate(own), np.concatenate(tiles)
-                r = (sid[who] % many.astype(U)).astype(np.int64)
-                # A segment that very many share goes to a tile for each other part of its documents.
-                again = np.repeat(np.arange(len(key)), many)
-                other = np.arange(len(again)) - np.repeat(np.cumsum(many) - many, many)
-                key, who, many, r = key[again], who[again], many[again], r[again]
-                low, high = np.minimum(r, other).astype(U), np.maximum(r, other).astype(U)
-                code = (key & U((1 << 40) - 1)) << U(24) | many.astype(U) << U(16) | low << U(8) | high
-                band = np.minimum(space[who], len(many_buckets) - 1)
-                bucket = first_bucket[band] + (mix((key >> U(40)) + (low << U(8) | high) * U(0x9FB21C651E98DF25)) % many_buckets[band].astype(U)).astype(np.int64)
-                order = np.lexsort((code, bucket))
-                bucket, code, who = bucket[order], code[order], who[order]
-                cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
-                out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
-                for a, b in zip(cuts, cuts[1:], strict=False):
-                    some, which = np.unique(who[a:b], return_inverse=True)
-                    which = pa.compress(which.astype(np.uint16 if len(some) < 65536 else np.uint32).tobytes(), "zstd", asbytes=True)
-                    for column, value in zip(out, (int(bucket[a]), _bytes(np.diff(code[a:b], prepend=U(0))), which, sid[some].tobytes(), space[some].tobytes(), first[some].tobytes(), size[some].tobytes(), bit[some].tobytes()), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:])], ["bucket", "codes", "own", "sids", "spaces", "firsts", "sizes", "bits"])
+                        many = np.clip((rare.astype(np.int64) - noise) // tile + 1, 1, 255).astype(np.uint8)
+                        for column, value in zip(held, (sid, space, head, len(grams), bit, key, many), strict=True):
+                            column.append(value)
+                        segments += len(key)
+                if segments >= limit:
+                    yield pack(*held)
+                    held, segments = ([], [], [], [], [], [], []), 0
+        if held[0]:
+            yield pack(*held)
 
     return run
 
@@ -249,51 +278,69 @@ def _runs(code: np.ndarray, own: np.ndarray, step: int = 1 << 20) -> Iterator[tu
                     yield np.full(len(left), code[a]), own[left], own[right]
 
 
-def _meet(t: float):
+def _meet(t: float, limit: int = MEET_KEYS):
     least_agreement = agreement(t)
+    met = pa.schema([("sid_a", pa.int64()), ("sid_b", pa.int64()), ("n_a", pa.int32()), ("n_b", pa.int32()), ("word", pa.int64())])
 
-    def run(table: pa.Table) -> pa.Table:
-        """Pairs of sets within the size ratio whose first common segment is in this bucket."""
-        codes, own, sids, spaces_, firsts, sizes, bits, before = [], [], [], [], [], [], [], 0
-        for c, o, s, p, f, m, w in zip(*(table.column(x).to_pylist() for x in ("codes", "own", "sids", "spaces", "firsts", "sizes", "bits")), strict=True):
-            with np.errstate(over="ignore"):
-                codes.append(np.cumsum(_values(c), dtype=U))
-            some = np.frombuffer(s, U)
-            kind = np.uint16 if len(some) < 65536 else np.uint32
-            own.append(np.frombuffer(pa.decompress(o, len(codes[-1]) * np.dtype(kind).itemsize, "zstd", asbytes=True), kind).astype(np.int64) + before)
-            sids.append(some), spaces_.append(np.frombuffer(p, np.uint8)), firsts.append(np.frombuffer(f, np.uint32).reshape(-1, FIRST)), sizes.append(np.frombuffer(m, np.int32)), bits.append(np.frombuffer(w, U).reshape(-1, BITS // 64))
-            before += len(some)
-        code, own, sid, space, first, size, bit = (np.concatenate(x) for x in (codes, own, sids, spaces_, firsts, sizes, bits))
-        # Equal sets are one.
-        with np.errstate(over="ignore"):
-            _, at, which = np.unique(sid + space.astype(U) * U(0xD1342543DE82EF95), return_index=True, return_inverse=True)
-        own, sid, first, size, bit = which[own], sid[at], first[at], size[at], bit[at]
-        order = np.lexsort((own, code))
-        code, own = code[order], own[order]
-        keep = np.ones(len(code), np.bool_)
-        keep[1:] = (code[1:] != code[:-1]) | (own[1:] != own[:-1])
-        code, own = code[keep], own[keep]
-        found: list[np.ndarray] = []
-        for k, a, b in _runs(code, own):
-            fit = (size[a] >= t * size[b] - 1e-9) & (size[b] >= t * size[a] - 1e-9)
-            k, a, b = k[fit], a[fit], b[fit]
-            fit = np.bitwise_count(bit[a] ^ bit[b]).sum(axis=1) <= BITS - least_agreement
-            k, a, b = k[fit], a[fit], b[fit]
-            tiles = (k >> U(16)) & U(255)
-            fit = (tiles == U(1)) | ((k >> U(8)) & U(255) == k & U(255)) | (sid[a] % tiles != sid[b] % tiles)
-            low = ((k >> U(24)) & LOW).astype(np.uint32)
-            x, y = first[a], first[b]
-            for i in range(FIRST):
-                # A segment of both that comes before this one.
-                ahead_x = ~(x[:, : i + 1] == low[:, None]).any(axis=1) & (x[:, i] != 0)
-                for j in range(FIRST):
-                    fit &= ~(ahead_x & (x[:, i] == y[:, j]) & ~(y[:, : j + 1] == low[:, None]).any(axis=1))
-            k, a, b = k[fit], a[fit], b[fit]
-            swap = sid[a].view(np.int64) > sid[b].view(np.int64)
-            a, b = np.where(swap, b, a), np.where(swap, a, b)
-            found.append(np.stack([sid[a].view(np.int64), sid[b].view(np.int64), size[a], size[b], k.view(np.int64)]))
-        a, b, n, m, k = np.concatenate(found, axis=1) if found else np.zeros((5, 0), np.int64)
-        return pa.table({"sid_a": pa.array(a), "sid_b": pa.array(b), "n_a": pa.array(n.astype(np.int32)), "n_b": pa.array(m.astype(np.int32)), "word": pa.array(k)})
+    def rows(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64), kind) for i, kind in enumerate(met.types)], schema=met)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of sets within the size ratio whose first common segment is in this bucket; of the segments, which are hashes, a range at a time."""
+        codes, owns, bases, tables, before = [], [], [], ([], [], [], []), 0
+        for batch in batches:
+            for c, o, s, f, m, w in zip(*(batch.column(x) for x in ("codes", "own", "sids", "firsts", "sizes", "bits")), strict=True):
+                with np.errstate(over="ignore"):
+                    code = np.cumsum(_values(c.as_py()), dtype=U)
+                for column, value, kind in zip(tables, (s, f, m, w), (U, np.uint32, np.int32, U), strict=True):
+                    column.append(np.frombuffer(value.as_py(), kind))
+                kind = np.uint16 if len(tables[0][-1]) < 65536 else np.uint32
+                codes.append(code), owns.append(np.frombuffer(pa.decompress(o.as_py(), len(code) * np.dtype(kind).itemsize, "zstd", asbytes=True), kind)), bases.append(before)
+                before += len(tables[0][-1])
+            del batch
+        joined = []
+        for column in tables:
+            joined.append(np.concatenate(column) if column else np.zeros(0, U))
+            column.clear()
+        sid, first, size, bit = joined[0], joined[1].reshape(-1, FIRST), joined[2], joined[3].reshape(-1, BITS // 64)
+        passes = max(1, math.ceil(sum(map(len, codes)) / limit))
+        edges = np.array([(i << 64) // passes for i in range(1, passes)], U)
+        cuts = [[0, *np.searchsorted(c, edges).tolist(), len(c)] for c in codes]
+        found: list[tuple[np.ndarray, ...]] = []
+        waiting = 0
+        for i in range(passes if codes else 0):
+            code = np.concatenate([c[x[i] : x[i + 1]] for c, x in zip(codes, cuts, strict=True)])
+            own = np.concatenate([o[x[i] : x[i + 1]].astype(np.int32) + np.int32(b) for o, x, b in zip(owns, cuts, bases, strict=True)])
+            order = np.lexsort((sid[own], code))
+            code, own = code[order], own[order]
+            # Equal sets are one.
+            keep = np.ones(len(code), np.bool_)
+            keep[1:] = (code[1:] != code[:-1]) | (sid[own[1:]] != sid[own[:-1]])
+            code, own = code[keep], own[keep]
+            for k, a, b in _runs(code, own, MEET_PAIRS):
+                fit = (size[a] >= t * size[b] - 1e-9) & (size[b] >= t * size[a] - 1e-9)
+                k, a, b = k[fit], a[fit], b[fit]
+                fit = np.bitwise_count(bit[a] ^ bit[b]).sum(axis=1) <= BITS - least_agreement
+                k, a, b = k[fit], a[fit], b[fit]
+                tiles = (k >> U(16)) & U(255)
+                fit = (tiles == U(1)) | ((k >> U(8)) & U(255) == k & U(255)) | (sid[a] % tiles != sid[b] % tiles)
+                low = ((k >> U(24)) & LOW).astype(np.uint32)
+                x, y = first[a], first[b]
+                for p in range(FIRST):
+                    # A segment of both that comes before this one.
+                    ahead_x = ~(x[:, : p + 1] == low[:, None]).any(axis=1) & (x[:, p] != 0)
+                    for q in range(FIRST):
+                        fit &= ~(ahead_x & (x[:, p] == y[:, q]) & ~(y[:, : q + 1] == low[:, None]).any(axis=1))
+                k, a, b = k[fit], a[fit], b[fit]
+                swap = sid[a].view(np.int64) > sid[b].view(np.int64)
+                a, b = np.where(swap, b, a), np.where(swap, a, b)
+                if len(k):
+                    found.append((sid[a].view(np.int64), sid[b].view(np.int64), size[a], size[b], k.view(np.int64)))
+                    waiting += len(k)
+                if waiting >= MEET_PAIRS:
+                    yield rows(found)
+                    found, waiting = [], 0
+        yield rows(found)
 
     return run
 
@@ -314,18 +361,23 @@ def _verify(t: float):
     def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
         grams = sets.column("grams").combine_chunks()
         at, flat = grams.offsets.to_numpy(), grams.values.to_numpy(zero_copy_only=False).view(U)
-        own = {s: flat[at[i] : at[i + 1]] for i, s in enumerate(sets.column("sid").to_pylist())}
-        a, b, j, shared = [], [], [], []
-        for x, y in zip(pairs.column("sid_a").to_pylist(), pairs.column("sid_b").to_pylist(), strict=True):
-            p, q = own[x], own[y]
+        sids, ends = sets.column("sid").to_numpy(), [pairs.column(x).to_numpy() for x in ("sid_a", "sid_b")]
+        order = np.argsort(sids, kind="stable")
+        places = [order[np.searchsorted(sids, x, sorter=order)] for x in ends]
+        if any((sids[place] != x).any() for place, x in zip(places, ends, strict=True)):
+            raise KeyError("a pair has come without one of its sets")
+        shared, jaccard = np.zeros(len(pairs), np.int64), np.zeros(len(pairs))
+        for k in range(len(pairs)):
+            i, j = places[0][k], places[1][k]
+            p, q = flat[at[i] : at[i + 1]], flat[at[j] : at[j + 1]]
             if len(p) > len(q):
                 p, q = q, p
             where = np.searchsorted(q, p)
             where[where == len(q)] = 0
-            same = int(np.count_nonzero(q[where] == p))
-            if same / (len(p) + len(q) - same) >= t:
-                a.append(x), b.append(y), j.append(same / (len(p) + len(q) - same)), shared.append(same)
-        return pa.table({"sid_a": pa.array(a, pa.int64()), "sid_b": pa.array(b, pa.int64()), "jaccard": pa.array(j, pa.float64()), "shared": pa.array(shared, pa.int64())})
+            shared[k] = same = int(np.count_nonzero(q[where] == p))
+            jaccard[k] = same / (len(p) + len(q) - same)
+        near = jaccard >= t
+        return pa.table({"sid_a": pa.array(ends[0][near]), "sid_b": pa.array(ends[1][near]), "jaccard": pa.array(jaccard[near]), "shared": pa.array(shared[near])})
 
     return run
 
@@ -343,7 +395,7 @@ def set_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD,
     bands = [tuple(b) for b in signs.where("n > 0").groupBy(band.alias("band")).agg(F.sum(F.col("n").cast("long"))).collect()]
     many, first = lanes(bands, threshold, bucket)
     packed = text.where("text is not null").mapInArrow(tidy(_packer(ngram, threshold, weights, many, first, tile)), PACKED)
-    met = packed.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(many.sum())), "bucket").groupBy("bucket").applyInArrow(tidy_group(_meet(threshold)), "sid_a long, sid_b long, n_a int, n_b int, word long")
+    met = packed.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(many.sum())), "bucket").groupBy("bucket").applyInArrow(tidy(_meet(threshold)), "sid_a long, sid_b long, n_a int, n_b int, word long")
     near = checkpointed(met.groupBy("sid_a", "sid_b", "n_a", "n_b").agg(F.min("word").alias("word")))
 
     # Pairs go where one segment sends them, in tiles if there are very many; sets follow.
