@@ -4,8 +4,8 @@ Texts are cut into words and blocks of texts keep each distinct word once.  The
 word of the corpus goes once through Spark's higher-order functions, as a byte array: `aggregate` folds the ranked merges over it.  Its
 state holds the token ids and the rank of every neighbouring pair, and each step replaces the leftmost pair of the least rank.  The rank
 map is a literal of the plan, laid out as a displaced table in an array, because a lookup in Spark's own map type reads its keys one
-after the other.  The ids go back to the blocks, which put those of their documents together.  Decoding concatenates the binary pieces
-of the ids.
+after the other; it is held in binary form, which descriptions of the plan don't spell out.  The ids go back to the blocks, which put
+those of their documents together.  Decoding concatenates the binary pieces of the ids.
 
 A word of any length takes this way.  As the fold is quadratic, one of more than WINDOW bytes is folded in windows that overlap by half
 and is spliced where two windows have a token in common: a sequence of tokens is the encoding of its bytes if every two neighbours are
@@ -119,9 +119,17 @@ def _let(value: Column, s: Column, body) -> Column:
     return F.aggregate(F.array(value), s, body)
 
 
-def _literal(values: np.ndarray) -> Column:
-    """An array that the optimiser folds to one literal."""
-    return F.split(F.lit(",".join(map(str, values.tolist()))), ",").cast("array<bigint>")
+def _literal(values: pa.Array) -> Column:
+    """An array as one literal, in the binary form of Spark's rows.
+
+    The driver describes a plan over and over, for its log and its listeners, and keeps the descriptions.  Arrays of other forms are
+    spelt out there value by value, megabytes each time; this one is named by its hash."""
+    spark = SparkSession.active()
+    kind = pa.list_(pa.field("element", values.type, nullable=False))
+    one = spark.createDataFrame(pa.table({"x": pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values, type=kind)}))
+    array = one._jdf.queryExecution().executedPlan().executeCollect()[0].getArray(0).copy()
+    spark_sql = spark._jvm.org.apache.spark.sql
+    return Column(spark_sql.classic.ExpressionUtils.column(spark_sql.catalyst.expressions.Literal(array, one._jdf.schema().apply(0).dataType())))
 
 
 def _bound(literals: list[Column], body, *names: Column) -> Column:
@@ -137,10 +145,10 @@ def merged(pieces: tuple[bytes, ...]):
     A token in the state of the fold is one integer: the rank of the pair that it begins, and its id.  The state begins with an edge
     that tells whether a step has found nothing to merge, after which the steps that are left do nothing."""
     ids = {p: i for i, p in enumerate(pieces)}
-    shift, table = map(_literal, rank_map(pieces))
+    shift, table = (_literal(pa.array(x)) for x in rank_map(pieces))
     single = np.array([ids[bytes([b])] for b in range(256)])
     # The first state by two bytes; 256 stands for the end of the word.
-    pairs = _literal(np.array([[(ids.get(bytes([a, b]), NEVER) << BITS) + single[a] for b in range(256)] + [(NEVER << BITS) + single[a]] for a in range(256)]).ravel())
+    pairs = _literal(pa.array(np.array([[(ids.get(bytes([a, b]), NEVER) << BITS) + single[a] for b in range(256)] + [(NEVER << BITS) + single[a]] for a in range(256)]).ravel()))
     low, high, never, ended = F.lit(NEVER - 1), F.lit(-NEVER), F.lit(NEVER), F.lit(NEVER << BITS)
     # A token that merges with none stands at both ends.
     edge = F.array(F.lit((NEVER << BITS) + len(pieces)))
@@ -176,7 +184,9 @@ def merged(pieces: tuple[bytes, ...]):
 @functools.lru_cache(1)
 def classes() -> bytes:
     """The class of every character, compressed."""
-    every = "".join(chr(i) if not 0xD800 <= i < 0xE000 else "\0" for i in range(0x110000))
+    codes = np.arange(0x110000, dtype="<u4")
+    codes[0xD800:0xE000] = 0
+    every = codes.tobytes().decode("utf-32-le")
     out = np.full(0x110000, SYMBOL, np.uint8)
     for kind, name in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
         for m in regex.finditer(name, every):
@@ -562,7 +572,7 @@ def encoded(docs: DataFrame, path: str = VOCABULARY, block: int = BLOCK_CHARS) -
 
 def decoded(ids: Column, path: str = VOCABULARY) -> Column:
     """The bytes that a column of token ids stands for: null for null ids, or where an id is null or none of the vocabulary's."""
-    pieces = F.split(F.lit(",".join(p.hex() for p in vocabulary(path))), ",")
+    pieces = _literal(pa.array([p.hex() for p in vocabulary(path)], pa.string()))
     # A piece that is missing leaves a sign that is no hexadecimal digit, for which unhex gives null.
     return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), "", "?"))
 
