@@ -33,6 +33,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Spark's setting (4.1) to remove an execution's shuffle files as it ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """`checkpointed`, and the shuffle files of the execution go as it ends, not when the driver happens to collect its garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_UP, None)
+    conf.set(CLEAN_UP, "true")
+    try:
+        # A plan of its own, so that `df` may run again.
+        return checkpointed(df.select("*"))
+    finally:
+        if before is None:
+            conf.unset(CLEAN_UP)
+        else:
+            conf.set(CLEAN_UP, before)
+
+
 #: Rows, and bytes of them, that go to a Python worker at once at most.
 BATCH_ROWS = 2_000
 BATCH_BYTES = 16 << 20

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import checkpointed, modest, sized, tidy, tidy_groups, without_ids
+from tidewater.llm.common import modest, settled, sized, tidy, tidy_groups, without_ids
 from tidewater.llm.hashing import U, mix, ngrams, word_hashes
 
 NGRAM = 2
@@ -121,11 +121,6 @@ def set_id(grams: np.ndarray) -> np.ndarray:
     return mix(one + mix(grams.sum(dtype=U)))
 
 
-def _lists(values: list[np.ndarray]) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array((np.concatenate(values) if values else np.zeros(0, U)).view(np.int64)))
-
-
 def _grams(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
     for start, end, hashes, at in word_hashes(batch.column("text")):
         for i in range(end - start):
@@ -211,7 +206,8 @@ def _packer(n: int, t: float, weights: np.ndarray, many_buckets: np.ndarray, fir
             else:
                 other = r
             low, high = np.minimum(r, other).astype(U), np.maximum(r, other).astype(U)
-            code = (key & U((1 << 40) - 1)) << U(24) | many.astype(U) << U(16) | low << U(8) | high
+            # Half of a word is enough within a bucket: the few that are alike by chance are told apart by what is checked later.
+            code = (key & LOW) << U(32) | many.astype(U) << U(16) | low << U(8) | high
             band = np.minimum(space[who], len(many_buckets) - 1)
             bucket = (first_bucket[band] + (mix((key >> U(40)) + (low << U(8) | high) * U(0x9FB21C651E98DF25)) % many_buckets[band].astype(U)).astype(np.int64)).astype(np.int32)
             del key, many, r, other, low, high, band
@@ -324,7 +320,7 @@ def _meet(t: float, limit: int = MEET_KEYS):
                 k, a, b = k[fit], a[fit], b[fit]
                 tiles = (k >> U(16)) & U(255)
                 fit = (tiles == U(1)) | ((k >> U(8)) & U(255) == k & U(255)) | (sid[a] % tiles != sid[b] % tiles)
-                low = ((k >> U(24)) & LOW).astype(np.uint32)
+                low = (k >> U(32)).astype(np.uint32)
                 x, y = first[a], first[b]
                 for p in range(FIRST):
                     # A segment of both that comes before this one.
@@ -345,31 +341,51 @@ def _meet(t: float, limit: int = MEET_KEYS):
     return run
 
 
+def _body(grams: np.ndarray, text: pa.Buffer) -> bytes:
+    """A set on its way: its text, compressed, where that is shorter than the set and takes at most twice its memory."""
+    if text.size <= 16 * len(grams):
+        short = text.size.to_bytes(4, "little") + pa.compress(text, "zstd", asbytes=True)
+        if len(short) < 8 * len(grams):
+            return b"t" + short
+    return b"s" + grams.tobytes()
+
+
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Sets are larger than their texts, so they go out some rows at a time.
         for batch in (b.slice(at, 512) for b in batches for at in range(0, len(b), 512)):
+            sids, bodies = [], []
             with np.errstate(over="ignore"):
-                grams = [g for _, g in _grams(batch, n)]
-                sids = np.array([set_id(g) for g in grams], U).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(sids), _lists(grams)], ["sid", "grams"])
+                for row, grams in _grams(batch, n):
+                    sids.append(set_id(grams))
+                    bodies.append(_body(grams, batch.column("text")[row].as_buffer()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(sids, U).view(np.int64)), pa.array(bodies, pa.binary())], ["sid", "body"])
 
     return run
 
 
-def _verify(t: float):
+def _unpacked(bodies: pa.ChunkedArray, n: int) -> list[np.ndarray]:
+    """The sets that `_body` packed."""
+    out: list[np.ndarray] = []
+    for at in range(0, len(bodies), 128):
+        some = [b.as_py() for b in bodies.slice(at, 128)]
+        texts = pa.array([pa.decompress(b[5:], int.from_bytes(b[1:5], "little"), "zstd", asbytes=True) if b[:1] == b"t" else None for b in some], pa.binary())
+        with np.errstate(over="ignore"):
+            known = dict(_grams(pa.RecordBatch.from_arrays([texts], ["text"]), n))
+        out += [known[i] if b[:1] == b"t" else np.frombuffer(b[1:], U) for i, b in enumerate(some)]
+    return out
+
+
+def _verify(n: int, t: float):
     def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-        grams = sets.column("grams").combine_chunks()
-        at, flat = grams.offsets.to_numpy(), grams.values.to_numpy(zero_copy_only=False).view(U)
-        sids, ends = sets.column("sid").to_numpy(), [pairs.column(x).to_numpy() for x in ("sid_a", "sid_b")]
-        order = np.argsort(sids, kind="stable")
-        places = [order[np.searchsorted(sids, x, sorter=order)] for x in ends]
-        if any((sids[place] != x).any() for place, x in zip(places, ends, strict=True)):
+        sids, at = np.unique(sets.column("sid").to_numpy(), return_index=True)
+        grams, ends = _unpacked(sets.column("body").take(pa.array(at)), n), [pairs.column(x).to_numpy() for x in ("sid_a", "sid_b")]
+        places = [np.minimum(np.searchsorted(sids, x), len(sids) - 1) for x in ends]
+        if len(pairs) and (not len(sids) or any((sids[place] != x).any() for place, x in zip(places, ends, strict=True))):
             raise KeyError("a pair has come without one of its sets")
         shared, jaccard = np.zeros(len(pairs), np.int64), np.zeros(len(pairs))
         for k in range(len(pairs)):
-            i, j = places[0][k], places[1][k]
-            p, q = flat[at[i] : at[i + 1]], flat[at[j] : at[j + 1]]
+            p, q = grams[places[0][k]], grams[places[1][k]]
             if len(p) > len(q):
                 p, q = q, p
             where = np.searchsorted(q, p)
@@ -386,7 +402,7 @@ def set_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD,
     """Versions (doc_id, sid, n), one for each distinct doc_id and set, sid null without n-grams; and pairs of different sets (sid_a, sid_b, jaccard, shared)."""
     spark = docs.sparkSession
     text = modest(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).where("doc_id is not null")
-    signs = checkpointed(text.mapInArrow(tidy(_signatures(ngram)), SIGNATURE))
+    signs = settled(text.mapInArrow(tidy(_signatures(ngram)), SIGNATURE))
     weights = np.zeros(SLOTS, np.int64)
     for slot, often in signs.where("slots is not null").select(F.posexplode("slots")).where("col > 0").groupBy("pos").agg(F.sum("col")).collect():
         weights[slot] = often
@@ -396,24 +412,24 @@ def set_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD,
     many, first = lanes(bands, threshold, bucket)
     packed = text.where("text is not null").mapInArrow(tidy(_packer(ngram, threshold, weights, many, first, tile)), PACKED)
     met = packed.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(many.sum())), "bucket").groupBy("bucket").applyInArrow(tidy(_meet(threshold)), "sid_a long, sid_b long, n_a int, n_b int, word long")
-    near = checkpointed(met.groupBy("sid_a", "sid_b", "n_a", "n_b").agg(F.min("word").alias("word")))
+    near = settled(met.groupBy("sid_a", "sid_b", "n_a", "n_b").agg(F.min("word").alias("word")))
 
     # Pairs go where one segment sends them, in tiles if there are very many; sets follow.
     tiles = near.groupBy("word").agg(F.ceil(F.sqrt(F.count(F.lit(1)) / F.lit(float(TILE_PAIRS)))).cast("int").alias("tiles"))
     near = near.join(tiles, "word").withColumn("place", F.when(F.col("tiles") == 1, F.xxhash64("word")).otherwise(F.xxhash64("word", F.pmod(F.xxhash64("sid_a"), "tiles"), F.pmod(F.xxhash64("sid_b"), "tiles"))))
-    near = checkpointed(near.select("sid_a", "sid_b", "n_a", "n_b", "place"))
+    near = settled(near.select("sid_a", "sid_b", "n_a", "n_b", "place"))
     ends = F.explode(F.array(F.struct(F.col("sid_a").alias("sid"), F.col("n_a").alias("n")), F.struct(F.col("sid_b").alias("sid"), F.col("n_b").alias("n")))).alias("d")
-    routes = checkpointed(near.select(ends, "place").select("d.sid", "d.n", "place").distinct())
+    routes = settled(near.select(ends, "place").select("d.sid", "d.n", "place").distinct())
     size = routes.agg(F.sum(F.col("n") * 8.0)).first()[0] or 0.0
     groups = max(1, math.ceil(size / GROUP_BYTES), spark.sparkContext.defaultParallelism)
     cut = F.pmod(F.col("place"), F.lit(groups)).cast("int").alias("cut")
     # The text of one document stands for each set.
     one = versions.join(sized(routes.select("sid").distinct(), 16), "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    one, routes = checkpointed(one), routes.select("sid", cut).distinct()
-    sets = text.join(sized(one, 16), "doc_id", "left_semi").mapInArrow(tidy(_sets(ngram)), "sid long, grams array<long>")
+    one, routes = settled(one), routes.select("sid", cut).distinct()
+    sets = text.join(sized(one, 16), "doc_id", "left_semi").mapInArrow(tidy(_sets(ngram)), "sid long, body binary")
     routed = sets.join(sized(routes, 24), "sid")
-    checked = near.select("sid_a", "sid_b", cut).groupBy("cut").cogroup(routed.groupBy("cut")).applyInArrow(tidy_groups(_verify(threshold)), "sid_a long, sid_b long, jaccard double, shared long")
-    return versions, checkpointed(checked)
+    checked = near.select("sid_a", "sid_b", cut).groupBy("cut").cogroup(routed.groupBy("cut")).applyInArrow(tidy_groups(_verify(ngram, threshold)), "sid_a long, sid_b long, jaccard double, shared long")
+    return versions, settled(checked)
 
 
 def jaccard_join(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD) -> DataFrame:
@@ -423,7 +439,7 @@ def jaccard_join(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHO
     other document with the representative of its own set.  See `linked` for what counts as a set.
     """
     versions, pairs = set_pairs(docs, ngram, threshold)
-    heads = checkpointed(versions.where("sid is not null").groupBy("sid", "n").agg(F.min("doc_id").alias("rep")))
+    heads = settled(versions.where("sid is not null").groupBy("sid", "n").agg(F.min("doc_id").alias("rep")))
     for end in "ab":
         pairs = pairs.join(heads.select(F.col("sid").alias(f"sid_{end}"), F.col("rep").alias(f"rep_{end}")), f"sid_{end}")
     near = pairs.where("rep_a <> rep_b").select(F.least("rep_a", "rep_b").alias("doc_a"), F.greatest("rep_a", "rep_b").alias("doc_b"), "jaccard", "shared")
@@ -442,11 +458,11 @@ def linked(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD) ->
     allows in a million sets; XX
     """
     versions, pairs = set_pairs(docs, ngram, threshold)
-    sets = checkpointed(versions.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
+    sets = settled(versions.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
     both = pairs.select(F.col("sid_a").alias("sid"), F.col("sid_b").alias("other")).unionByName(pairs.select(F.col("sid_b").alias("sid"), F.col("sid_a").alias("other")))
     far = both.join(sets.select(F.col("sid").alias("other"), "copies"), "other").groupBy("sid").agg(F.sum("copies").alias("far"))
     heads = components(pairs.select(F.col("sid_a").alias("doc_a"), F.col("sid_b").alias("doc_b"))).select(F.col("doc_id").alias("sid"), "head")
-    sets = checkpointed(sets.join(far, "sid", "left").join(heads, "sid", "left").withColumn("head", F.coalesce("head", "sid")))
+    sets = settled(sets.join(far, "sid", "left").join(heads, "sid", "left").withColumn("head", F.coalesce("head", "sid")))
     classes = sets.groupBy("head").agg(F.min("rep").alias("class_id"))
     known = sets.join(classes, "head").select("sid", "class_id", (F.col("copies") - 1 + F.coalesce("far", F.lit(0))).alias("links"))
     rows = versions.select("doc_id", "sid").join(known, "sid", "left")
@@ -455,7 +471,7 @@ def linked(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD) ->
 
 def components(pairs: DataFrame) -> DataFrame:
     """doc_id and the lowest doc_id that pairs connect it to, for every document in a pair (large and small stars in turn)."""
-    edges = checkpointed(pairs.select(F.greatest("doc_a", "doc_b").alias("u"), F.least("doc_a", "doc_b").alias("v")).where("u <> v").distinct())
+    edges = settled(pairs.select(F.greatest("doc_a", "doc_b").alias("u"), F.least("doc_a", "doc_b").alias("v")).where("u <> v").distinct())
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -463,7 +479,7 @@ def components(pairs: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")).select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct()
-        edges = checkpointed(small)
+        edges = settled(small)
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             return edges.select(F.col("u").alias("doc_id"), F.col("v").alias("head")).unionByName(edges.select(F.col("v").alias("doc_id"), F.col("v").alias("head")).distinct())
