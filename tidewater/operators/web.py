@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.text import bare_host, collapsed, path, url_key
+from tidewater.operators.batches import batched, each
 
 SKIPPED = frozenset(("script", "style", "noscript", "template"))
 SIDE = frozenset(("nav", "header", "footer", "aside"))
@@ -101,22 +102,28 @@ def facts_of(html: str, url: str | None) -> dict:
     return {"title": " ".join("".join(reader.title).split()), "text": " ".join(reader.texts), "meta_refresh": reader.refresh, "canonical": reader.canonical, "links": reader.links}
 
 
+def _pages(pages: DataFrame, key: str) -> DataFrame:
+    return pages.select(F.col(key).cast("long").alias(key), "url", "html").where("html is not null")
+
+
 def parsed(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """key, url and the facts of each page; a null page has no facts."""
-    rows = pages.select(F.col(key).cast("long").alias(key), "url", "html").where("html is not null")
+    kinds = pa.schema([(key, pa.int64()), ("url", pa.string()), *((c, pa.string()) for c in ("title", "text", "meta_refresh", "canonical")), ("links", pa.list_(_LINK))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [facts_of(h, u) for h, u in zip(batch.column("html").to_pylist(), batch.column("url").to_pylist(), strict=True)]
-            columns = [pa.array([f[c] for f in found], k) for c, k in (("title", pa.string()), ("text", pa.string()), ("meta_refresh", pa.string()), ("canonical", pa.string()), ("links", pa.list_(_LINK)))]
-            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("url"), *columns], [key, "url", "title", "text", "meta_refresh", "canonical", "links"])
+        return batched(({key: k, "url": u} | facts_of(h, u) for k, u, h in each(batches, [key, "url", "html"])), kinds)
 
-    return rows.mapInArrow(run, f"{key} long, url string, {FACTS}")
+    return _pages(pages, key).mapInArrow(run, f"{key} long, url string, {FACTS}")
 
 
 def links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """A row for each link: key, page_url, pos, anchor, href, url, context, side."""
-    return parsed(pages, key).select(key, F.col("url").alias("page_url"), F.explode("links").alias("l")).select(key, "page_url", "l.*")
+    kinds = pa.schema([(key, pa.int64()), ("page_url", pa.string()), *_LINK])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return batched(({key: k, "page_url": u} | link for k, u, h in each(batches, [key, "url", "html"]) for link in facts_of(h, u)["links"]), kinds)
+
+    return _pages(pages, key).mapInArrow(run, f"{key} long, page_url string, pos int, anchor string, href string, url string, context string, side boolean")
 
 
 def distinct_links(rows: DataFrame, key: str = "page_id") -> DataFrame:
