@@ -66,7 +66,7 @@ def venue_year_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def person_paper_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bib.counts(papers(spark, sf_dir))
+    return bib.counts(papers(spark, sf_dir, by="person"))
 
 
 def paper_dedup_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.storage import joined, tasks
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(person, paper, venue, year, title): the distinct brands of each customer's orders; the title is the first part's name."""
+def papers(spark: SparkSession, sf_dir: str, by: str | None = None) -> DataFrame:
+    """(person, paper, venue, year, title): the distinct brands of each customer's orders; the title is the first part's name.  Tasks take
+    so many lines each, and with `by` the papers of a value of that column are in one of as many partitions."""
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
-    rows = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return rows.groupBy(F.col("o_custkey").alias("person"), F.col("o_orderkey").alias("paper"), F.col("p_brand").alias("venue")).agg(F.min("year").alias("year"), F.min("p_name").alias("title"))
+    n = tasks(lines)
+    rows = joined(lines, parts, "l_partkey", "p_partkey", n, 128).repartition(n, "l_orderkey").join(orders.repartition(n, "o_orderkey").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    out = rows.groupBy(F.col("o_custkey").alias("person"), F.col("o_orderkey").alias("paper"), F.col("p_brand").alias("venue")).agg(F.min("year").alias("year"), F.min("p_name").alias("title"))
+    return out.repartition(n, by) if by else out
 
 
 PAPERS_SQL = """papers AS (

@@ -33,6 +33,25 @@ def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFr
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+#: Rows of the larger side that a task of a join or of an aggregate by key takes, about.
+TASK_ROWS = 200_000
+
+
+def tasks(df: DataFrame, rows: int = TASK_ROWS) -> int:
+    """In how many partitions `df`, counted, has about so many rows in each: as many as cores at least.  A repartitioning by number keeps to
+    it, whatever the session's number of partitions is and however the planner merges them."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+
+
+def joined(left: DataFrame, right: DataFrame, key: str, other: str, n: int, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The inner join on key = other: `right` is broadcast if its rows, counted, of at most `row_bytes` each are within the limit; otherwise
+    both sides are merged in `n` partitions."""
+    on = F.col(key) == F.col(other)
+    if right.count() * row_bytes <= limit:
+        return left.join(F.broadcast(right), on)
+    return left.repartition(n, key).join(right.repartition(n, other).hint("merge"), on)
+
+
 def blocks(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> list[DataFrame]:
     """`df` in parts by hash, each marked for broadcast and of about `limit` bytes at most if its rows have at most `row_bytes`: for joins
     on conditions that only a broadcast can serve.  Together the parts hold every row once."""
