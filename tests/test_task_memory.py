@@ -13,8 +13,8 @@ from tidewater import storage
 from tidewater.plans import catalogue, tables
 
 SD, LINES, N = "/root/testdata/sf0.001", 6_000, 13
-BY_PERSON = ("person_paper_counts",)
-QUERIES = (*BY_PERSON, "distinct_venue_score", "export_labelled", "weighted_venue_score", "yearly_histogram_long", "affinity_share", "activity_span", "export_short", "flagship_ranking", "priority_bands", "venue_year_selection", "proceedings_groups")
+BY_PERSON = ("person_paper_counts", "venue_histogram_long", "distinct_venue_score", "favoured_top3")
+QUERIES = (*BY_PERSON, "export_labelled", "weighted_venue_score", "yearly_histogram_long", "affinity_share", "activity_span", "export_short", "flagship_ranking", "priority_bands", "venue_year_selection", "proceedings_groups")
 EAGER = ("legacy_vs_new_scores", "top100_overlap")
 
 

@@ -29,9 +29,9 @@ def counts(papers: DataFrame, key: str = "person") -> DataFrame:
 
 
 def venue_histogram(papers: DataFrame, key: str = "person", top: int | None = None) -> DataFrame:
-    """(key, venue, n, rk): venues by frequency, equal ones by name."""
+    """(key, venue, n, rk): venues by frequency, equal ones by name, no name last."""
     by = papers.groupBy(key, "venue").agg(F.count(F.lit(1)).alias("n"))
-    ranked = by.withColumn("rk", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "venue")))
+    ranked = by.withColumn("rk", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), F.asc_nulls_last("venue"))))
     return ranked if top is None else ranked.where(F.col("rk") <= top)
 
 

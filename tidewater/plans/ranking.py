@@ -76,7 +76,7 @@ def paper_dedup_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def venue_histogram_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bib.venue_histogram(papers(spark, sf_dir), top=3)
+    return bib.venue_histogram(papers(spark, sf_dir, by="person"), top=3)
 
 
 def activity_span(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +88,7 @@ def yearly_histogram_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_venue_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return papers(spark, sf_dir).groupBy("person").agg((F.least(F.countDistinct("venue"), F.lit(10).cast("long")) * 3).alias("score"))
+    return papers(spark, sf_dir, by="person").groupBy("person").agg((F.least(F.countDistinct("venue"), F.lit(10).cast("long")) * 3).alias("score"))
 
 
 def keyword_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +133,7 @@ def affinity_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def favoured_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = papers(spark, sf_dir).where(F.col("venue").isin(*FAVOURED))
+    rows = papers(spark, sf_dir, by="person").where(F.col("venue").isin(*FAVOURED))
     return bib.venue_histogram(rows, top=3)
 
 
