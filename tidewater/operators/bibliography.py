@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.roster import alias_match
-from tidewater.storage import blocks
+from tidewater.storage import blocks, small
 
 
 def exploded_authors(papers: DataFrame, authors: str = "authors") -> DataFrame:
@@ -44,7 +44,7 @@ def activity(papers: DataFrame, key: str = "person", cap: float = 5.0, points: f
 
 def weighted_venues(papers: DataFrame, weights: DataFrame, key: str = "person", default: float = 1.0, caps: dict[str, float] | None = None) -> DataFrame:
     """Sum of venue weights (venue, weight), a default for the others, under each named cap."""
-    joined = papers.join(weights, "venue", "left")
+    joined = papers.join(small(weights, 128), "venue", "left")
     total = F.sum(F.coalesce("weight", F.lit(default)))
     return joined.groupBy(key).agg(total.alias("raw"), *(F.least(total, F.lit(cap)).alias(name) for name, cap in (caps or {"venue_score": 25.0}).items()))
 
