@@ -38,6 +38,12 @@ def test_tasks_take_a_few_lines_each(spark, many_tasks, name):
         assert [(k, n) for k, n in found if "person" in k or "o_custkey" in k] in ([("person", N)], [("o_custkey", N)])
 
 
+@pytest.mark.parametrize("name", [q for q in QUERIES if "rank" in q or "export" in q or q == "priority_bands"])
+def test_scores_join_the_papers_once(spark, many_tasks, name):
+    found = [k for k, _ in exchanges(catalogue.queries()[name](spark, SD))]
+    assert found.count("l_orderkey") == (2 if name == "export_short" else 1)
+
+
 @pytest.fixture(scope="module")
 def odd(spark, tmp_path_factory):
     """Tables with nulls in keys and values, orders twice, parts twice, and a person with most orders."""

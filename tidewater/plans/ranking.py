@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add, or_
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,21 +12,22 @@ from tidewater.functions.text import banded
 from tidewater.operators import bibliography as bib
 from tidewater.operators import matching, sequences
 from tidewater.storage import checkpointed
-from tidewater.plans.tables import ALIASES, FAVOURED, FAVOURED_SQL, PAPERS_SQL, TAXONOMY_SQL, WEIGHTS_SQL, papers, table, taxonomy, weights
+from tidewater.plans.tables import ALIASES, FAVOURED, FAVOURED_SQL, PAPERS_SQL, TAXONOMY, TAXONOMY_SQL, WEIGHTS_SQL, papers, table, taxonomy, weights
 
 PAPERS_CAP = 60.0
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each person with all parts of both scores."""
-    # Both uses of the papers read one exchange by person.
-    rows = papers(spark, sf_dir)
-    terms = taxonomy(spark)
-    areas = rows.select("person", "title").distinct().join(F.broadcast(terms), F.col("title").contains(F.col("term"))).groupBy("person").agg(F.countDistinct("category").alias("areas"))
-    each = rows.join(F.broadcast(weights(spark)), "venue", "left").groupBy("person").agg(
-        F.count(F.lit(1)).alias("papers"), F.sum(F.coalesce("weight", F.lit(1.0))).alias("raw"), F.count_if(F.col("venue").isin(*FAVOURED)).alias("hits")
+    rows = papers(spark, sf_dir).join(F.broadcast(weights(spark)), "venue", "left")
+    # In one aggregate, whose state is a few numbers for each person: of each category whether a title has one of its terms.
+    found = {f"_{c}": F.max(reduce(or_, [F.col("title").contains(t) for k, t in TAXONOMY if k == c])) for c in dict(TAXONOMY)}
+    each = rows.groupBy("person").agg(
+        F.count(F.lit(1)).alias("papers"), F.sum(F.coalesce("weight", F.lit(1.0))).alias("raw"), F.count_if(F.col("venue").isin(*FAVOURED)).alias("hits"), *(x.alias(name) for name, x in found.items())
     )
-    out = each.join(areas, "person", "left").withColumn("areas", F.coalesce("areas", F.lit(0).cast("long")))
+    # As in SQL, where areas are joined by person, no person has none.
+    areas = reduce(add, [F.coalesce(F.col(name).cast("long"), F.lit(0).cast("long")) for name in found])
+    out = each.withColumn("areas", F.when(F.col("person").isNotNull(), areas).otherwise(F.lit(0).cast("long")))
     score, old = F.least(F.col("raw") / 4, F.lit(25.0)), F.least(F.col("raw") / 4, F.lit(30.0))
     share = F.col("hits").cast("double") / F.col("papers")
     return out.select(

@@ -105,7 +105,7 @@ def run_metric_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def export_short(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven columns for each person: areas as one text of five at most, the new score or where there is none the old, and the priority."""
-    areas = papers(spark, sf_dir).groupBy("person").agg(F.sort_array(F.collect_set(F.regexp_extract("title", "^[^ ]+", 0))).alias("all"), F.countDistinct("venue").alias("venues"))
+    areas = papers(spark, sf_dir, by="person").groupBy("person").agg(F.sort_array(F.collect_set(F.regexp_extract("title", "^[^ ]+", 0))).alias("all"), F.countDistinct("venue").alias("venues"))
     rows = scores(spark, sf_dir).join(areas, "person")
     score = F.coalesce(F.when(F.col("person") % 5 != 0, F.col("overall")), F.col("legacy"))
     return rows.select("person", "papers", "venues", F.array_join(F.slice("all", 1, 5), ", ").alias("areas"), score.alias("score"), bib.priority(score).alias("priority"), "affinity")
